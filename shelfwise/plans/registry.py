@@ -53,3 +53,31 @@ def topk_sql(src: str, part: str, order: str, k: int, name: str) -> str:
     return f"""{name} AS (
   SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY {part} ORDER BY {order}) AS INTEGER) AS rank
                  FROM {src}) t WHERE rank <= {k})"""
+
+DIRTY_BOOKS_SQL = """dirty_books AS (
+  SELECT
+    CASE WHEN p_partkey % 23 = 0 THEN 'x1' WHEN p_partkey % 29 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS book_id,
+    CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 31 = 0 THEN 'Unknown Title' ELSE p_name END AS title,
+    CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 31 = 0 THEN 'Unknown' ELSE p_brand END AS authors,
+    CASE WHEN p_partkey % 11 = 0 THEN 'n/a' WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_retailprice AS VARCHAR) END AS average_rating,
+    CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END AS ratings_count,
+    CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '978' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') END AS isbn,
+    CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE 'eng' END AS language_code,
+    CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_name END AS original_title,
+    CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE 'http://img/' || CAST(p_partkey AS VARCHAR) END AS image_url
+  FROM part)"""
+
+DIRTY_RATINGS_SQL = """dirty_ratings AS (
+  SELECT
+    CASE WHEN (l.l_orderkey * 8 + l.l_linenumber) % 41 = 0 THEN 'abc' ELSE CAST(l.l_partkey AS VARCHAR) END AS book_id,
+    CASE WHEN (l.l_orderkey * 8 + l.l_linenumber) % 37 = 0 THEN NULL ELSE CAST(o.o_custkey AS VARCHAR) END AS user_id,
+    CASE WHEN (l.l_orderkey * 8 + l.l_linenumber) % 19 = 0 THEN '9'
+         WHEN (l.l_orderkey * 8 + l.l_linenumber) % 43 = 0 THEN '0'
+         WHEN (l.l_orderkey * 8 + l.l_linenumber) % 47 = 0 THEN ' 4 '
+         ELSE CAST(CAST(floor((l.l_quantity - 1) / 10) + 1 AS INTEGER) AS VARCHAR) END AS rating
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
+def td(x: str) -> str:
+    """SQL twin of ``try_double``."""
+    return f"TRY_CAST(trim({x}) AS DOUBLE)"
