@@ -117,10 +117,10 @@ def drop_placeholders(df: DataFrame, title: str = "title", authors: str = "autho
 def rekey(incoming: DataFrame, offset_from: DataFrame, id_cols: Sequence[str], key: str = "book_id") -> DataFrame:
     """Shift every id column of ``incoming`` by the current maximum id of ``offset_from``.
 
-    The maximum is a single scalar aggregate, added as a literal (no cross join).
+    The maximum is a scalar subquery (no cross join, no driver round trip).
     """
-    mx = offset_from.agg(F.max(key).alias("m")).first()["m"] or 0
-    return incoming.select(*[(F.col(c) + F.lit(mx)).alias(c) if c in id_cols else F.col(c) for c in incoming.columns])
+    mx = F.coalesce(offset_from.select(F.max(key)).scalar(), F.lit(0))
+    return incoming.select(*[(F.col(c) + mx).alias(c) if c in id_cols else F.col(c) for c in incoming.columns])
 
 
 def user_top_rated(interactions: DataFrame, min_rating=2, n: int = 10, user_col: str = "user_id",

@@ -45,10 +45,10 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def append_union(existing: DataFrame, incoming: DataFrame, seq_col: str = "_seq") -> DataFrame:
-    """Existing rows first, then incoming; ``seq_col`` = (source, position) keeps that order."""
-    a = existing.withColumn(seq_col, F.struct(F.lit(0).alias("src"), F.monotonically_increasing_id().alias("pos")))
-    b = incoming.withColumn(seq_col, F.struct(F.lit(1).alias("src"), F.monotonically_increasing_id().alias("pos")))
+def append_union(existing: DataFrame, incoming: DataFrame, order_col: str, seq_col: str = "_seq") -> DataFrame:
+    """Existing rows first, then incoming; ``seq_col`` = (source, order_col) records that order."""
+    a = existing.withColumn(seq_col, F.struct(F.lit(0).alias("src"), F.col(order_col).alias("pos")))
+    b = incoming.withColumn(seq_col, F.struct(F.lit(1).alias("src"), F.col(order_col).alias("pos")))
     return a.unionByName(b, allowMissingColumns=True)
 
 

@@ -145,7 +145,7 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: s
                  integer_values: bool = True, **kw) -> DataFrame:
     """Cosine for every co-occurring pair, in both directions.
 
-    Columns: ``out_left, out_right, dot, sim, nano``. Integer inputs keep ``dot`` and squared norms
+    Columns: ``out_left, out_right, dot, sim, n_common, nano``. Integer inputs keep ``dot`` and squared norms
     exact, so ``sim = dot / (sqrt(n2_i) * sqrt(n2_j))`` is bit-identical in any engine.
     """
     v = F.col(value)
@@ -154,14 +154,14 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: s
         norms = norms.withColumn("n2", F.col("n2").cast("long"))
     pairs = cooccurrence(entries, row, col, value, **kw)
     dot = F.col("dot").cast("long") if integer_values else F.col("dot")
-    p = pairs.select(F.col("i"), F.col("j"), dot.alias("dot"))
+    p = pairs.select(F.col("i"), F.col("j"), dot.alias("dot"), F.col("n_common"))
     ni = norms.select(F.col(col).alias("i"), F.col("n2").alias("n2_i"))
     nj = norms.select(F.col(col).alias("j"), F.col("n2").alias("n2_j"))
     s = (p.join(ni, "i").join(nj, "j")
          .withColumn("sim", F.col("dot") / (F.sqrt("n2_i") * F.sqrt("n2_j")))
-         .select("i", "j", "dot", "sim"))
-    both = s.select(F.col("i").alias(out_left), F.col("j").alias(out_right), "dot", "sim").unionByName(
-        s.select(F.col("j").alias(out_left), F.col("i").alias(out_right), "dot", "sim"))
+         .select("i", "j", "dot", "sim", "n_common"))
+    both = s.select(F.col("i").alias(out_left), F.col("j").alias(out_right), "dot", "sim", "n_common").unionByName(
+        s.select(F.col("j").alias(out_left), F.col("i").alias(out_right), "dot", "sim", "n_common"))
     return both.withColumn("nano", nano("sim"))
 
 
