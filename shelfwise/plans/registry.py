@@ -81,3 +81,47 @@ DIRTY_RATINGS_SQL = """dirty_ratings AS (
 def td(x: str) -> str:
     """SQL twin of ``try_double``."""
     return f"TRY_CAST(trim({x}) AS DOUBLE)"
+
+REQUESTS_SQL = """requests AS (
+  SELECT c_custkey AS request_id, CASE WHEN c_custkey % 2 = 0 THEN 'user' ELSE 'book' END AS kind,
+    CASE WHEN c_custkey % 11 = 0 THEN 'abc' WHEN c_custkey % 13 = 0 THEN '-1' WHEN c_custkey % 17 = 0 THEN '99999'
+         WHEN c_custkey % 19 = 0 THEN '0' ELSE CAST(c_custkey % 600 AS VARCHAR) END AS id_text,
+    CASE WHEN c_custkey % 7 = 0 THEN '100' WHEN c_custkey % 9 = 0 THEN '0' WHEN c_custkey % 8 = 0 THEN '-1'
+         WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 20 + 1 AS VARCHAR) END AS num_text,
+    CASE WHEN c_custkey % 10 = 3 THEN '3' WHEN c_custkey % 23 = 0 THEN 'x' ELSE NULL END AS n_text
+  FROM customer)"""
+
+VALID_SQL = REQUESTS_SQL + """,
+valid AS (
+  SELECT request_id, kind, TRY_CAST(trim(id_text) AS BIGINT) AS target_id,
+    CAST(coalesce(TRY_CAST(trim(n_text) AS BIGINT), TRY_CAST(trim(num_text) AS BIGINT), 5) AS INTEGER) AS count,
+    CAST(CASE
+      WHEN id_text IS NULL OR TRY_CAST(trim(id_text) AS BIGINT) IS NULL
+        OR (num_text IS NOT NULL AND TRY_CAST(trim(num_text) AS BIGINT) IS NULL)
+        OR (n_text IS NOT NULL AND TRY_CAST(trim(n_text) AS BIGINT) IS NULL)
+        OR TRY_CAST(trim(num_text) AS BIGINT) NOT BETWEEN 1 AND 20
+        OR TRY_CAST(trim(n_text) AS BIGINT) NOT BETWEEN 1 AND 20 THEN 422
+      WHEN kind = 'user' AND TRY_CAST(trim(id_text) AS BIGINT) NOT BETWEEN 1 AND 500 THEN 404
+      WHEN kind = 'book' AND TRY_CAST(trim(id_text) AS BIGINT) NOT BETWEEN 1 AND 10000 THEN 404
+      ELSE 200 END AS INTEGER) AS status
+  FROM requests)"""
+
+SPLIT_SQL = INTER_SQL + """,
+sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5(concat_ws('|', '42', CAST(user_id AS VARCHAR),
+         CAST(book_id AS VARCHAR))), user_id, book_id) - 1 < (SELECT COUNT(*) FROM interactions) * 4 // 5
+         THEN 'train' ELSE 'test' END AS split FROM interactions),
+train AS (SELECT user_id, book_id, rating FROM sp WHERE split = 'train'),
+test AS (SELECT user_id, book_id, rating FROM sp WHERE split = 'test')"""
+
+
+def recs_sql(src: str, k: int, n: int, name: str, users: str | None = None, sims: str = "sims") -> str:
+    """Top-n item-item recommendations from ``src`` with k scoring neighbours (oracle only)."""
+    flt = f"AND i.user_id IN (SELECT user_id FROM {users})" if users else ""
+    return f"""{cosine_sql(src, 'user_id', 'book_id', 'book_id', 'other_id', sims)},
+{topk_sql(sims, 'book_id', 'nano DESC, other_id', k, name + '_nb')},
+{name}_cand AS (
+  SELECT i.user_id, n.other_id AS book_id, CAST(SUM(n.nano * i.rating) AS BIGINT) AS score_nano
+  FROM {src} i JOIN {name}_nb n ON i.book_id = n.book_id
+  WHERE NOT EXISTS (SELECT 1 FROM {src} r WHERE r.user_id = i.user_id AND r.book_id = n.other_id) {flt}
+  GROUP BY 1, 2),
+{topk_sql(name + '_cand', 'user_id', 'score_nano DESC, book_id', n, name)}"""

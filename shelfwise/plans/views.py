@@ -84,3 +84,28 @@ def dirty_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 19 == 0, F.lit("9")).when(k % 43 == 0, F.lit("0")).when(k % 47 == 0, F.lit(" 4 "))
         .otherwise(rating.cast("string")).alias("rating"),
     )
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request table from customer keys, with bad ids and counts mixed in by modulus."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        k.alias("request_id"),
+        F.when(k % 2 == 0, F.lit("user")).otherwise(F.lit("book")).alias("kind"),
+        F.when(k % 11 == 0, F.lit("abc")).when(k % 13 == 0, F.lit("-1")).when(k % 17 == 0, F.lit("99999"))
+        .when(k % 19 == 0, F.lit("0")).otherwise((k % 600).cast("string")).alias("id_text"),
+        F.when(k % 7 == 0, F.lit("100")).when(k % 9 == 0, F.lit("0")).when(k % 8 == 0, F.lit("-1"))
+        .when(k % 5 == 0, F.lit(None).cast("string")).otherwise((k % 20 + 1).cast("string")).alias("num_text"),
+        F.when(k % 10 == 3, F.lit("3")).when(k % 23 == 0, F.lit("x")).otherwise(F.lit(None).cast("string"))
+        .alias("n_text"))
+
+
+def implicit_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Implicit feedback from events: item = props.k, rating = number of events (P14 + R01)."""
+    ev = table(spark, sf_dir, "events").select("user_id", F.get_json_object("props", "$.k").cast("long").alias("book_id"))
+    return ev.groupBy("user_id", "book_id").agg(F.count(F.lit(1)).cast("int").alias("rating"))
+
+
+def split_interactions(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
+    from shelfwise.operators.encode import seeded_split
+    return seeded_split(interactions(spark, sf_dir), ["user_id", "book_id"], seed)
