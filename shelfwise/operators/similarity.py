@@ -4,11 +4,13 @@ The product G[i, j] = sum_r v[r, i] * v[r, j] is never formed by a self-join on
 (that would emit every pair inside a row group; one row holding a third of the data would
 put quadratic work in one task). Instead:
 
-* columns are hashed into ``nb`` blocks of at most ``max_block`` columns;
+* columns are hashed into ``nb = ceil(n_cols / max_block)`` blocks (more when that gives too few
+  groups for the cluster's parallelism);
 * every entry is sent to the ``nb`` unordered block pairs that contain its block, and rows
   are hashed into ``rc`` chunks sized from the entry count;
-* each (block pair, row chunk) group is a bounded unit: at most ``max_block`` columns per side,
-  about ``target_group_entries`` entries. Inside it numpy accumulates the block product into a
+* each (block pair, row chunk) group is a bounded unit: about ``max_block`` columns per side
+  (dense accumulator about max_block^2 cells, ~200 MB at 4096), about ``target_group_entries``
+  entries. A row holding a third of all entries contributes at most one block per side to a group. Inside it numpy accumulates the block product into a
   dense accumulator (``bincount`` over linear indexes), so per-row pairs are summed in memory
   and only block-level partial sums leave the task;
 * partial sums from different row chunks are combined by a (map-side combined) ``groupBy``.
@@ -58,7 +60,7 @@ def _block_product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     dense = ncell <= _DENSE_LIMIT
     if dense:
         acc_dot = np.zeros(ncell, dtype="float64")
-        acc_n = np.zeros(ncell, dtype="int64")
+        acc_n = np.zeros(ncell, dtype="int32")
     else:
         parts = []
     s = 0
@@ -82,14 +84,14 @@ def _block_product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             lin = li.astype("int64") * len(cb) + lj
             if dense:
                 acc_dot += np.bincount(lin, weights=prod, minlength=ncell)
-                acc_n += np.bincount(lin, minlength=ncell)
+                acc_n += np.bincount(lin, minlength=ncell).astype("int32")
             else:
                 u, inv = np.unique(lin, return_inverse=True)
                 parts.append((u, np.bincount(inv, weights=prod), np.bincount(inv)))
         s = e
     if dense:
         nz = np.flatnonzero(acc_n)
-        dots, ns = acc_dot[nz], acc_n[nz]
+        dots, ns = acc_dot[nz], acc_n[nz].astype("int64")
     else:
         if parts:
             allu = np.concatenate([p[0] for p in parts])
@@ -107,7 +109,7 @@ def _block_product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"i": ci, "j": cj, "dot": dots, "n_common": ns})
 
 
-def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, max_block: int = 2048,
+def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, max_block: int = 4096,
                  target_group_entries: int = 2_000_000, min_groups: int | None = None) -> DataFrame:
     """Sparse Gram product over a long table ``(row, col, value)`` with unique (row, col).
 
@@ -160,9 +162,14 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: s
     s = (p.join(ni, "i").join(nj, "j")
          .withColumn("sim", F.col("dot") / (F.sqrt("n2_i") * F.sqrt("n2_j")))
          .select("i", "j", "dot", "sim", "n_common"))
-    both = s.select(F.col("i").alias(out_left), F.col("j").alias(out_right), "dot", "sim", "n_common").unionByName(
-        s.select(F.col("j").alias(out_left), F.col("i").alias(out_right), "dot", "sim", "n_common"))
-    return both.withColumn("nano", nano("sim"))
+    return mirror(s, out_left, out_right, ["dot", "sim", "n_common"]).withColumn("nano", nano("sim"))
+
+
+def mirror(pairs: DataFrame, out_left: str, out_right: str, carry) -> DataFrame:
+    """(i, j, ...) with i < j -> both orientations in one pass (no second copy of the subplan)."""
+    both = F.explode(F.array(F.struct(F.col("i").alias("l"), F.col("j").alias("r")),
+                             F.struct(F.col("j").alias("l"), F.col("i").alias("r")))).alias("_o")
+    return pairs.select(both, *carry).select(F.col("_o.l").alias(out_left), F.col("_o.r").alias(out_right), *carry)
 
 
 def item_neighbors(interactions: DataFrame, k: int = 20, user_col: str = "user_id", item_col: str = "book_id",

@@ -98,8 +98,7 @@ SELECT book_id, other_id, round(sim, 6) AS sim, rank FROM (
 def r02_content_similarity(spark, d):
     w, _ = TX.tfidf(book_docs(spark, d), "book_id", "text", MIN_DF, MAX_DF)
     pairs = S.cooccurrence(w, "term", "book_id", "weight")
-    both = pairs.select(F.col("i").alias("book_id"), F.col("j").alias("other_id"), F.col("dot").alias("sim")) \
-        .unionByName(pairs.select(F.col("j").alias("book_id"), F.col("i").alias("other_id"), F.col("dot").alias("sim")))
+    both = S.mirror(pairs.withColumnRenamed("dot", "sim"), "book_id", "other_id", ["sim"])
     top = top_k_per_group(both, ["book_id"], [F.round("sim", 9).desc(), F.col("other_id")], 10)
     return top.select("book_id", "other_id", F.round("sim", 6).alias("sim"), "rank")
 

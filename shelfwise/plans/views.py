@@ -4,6 +4,7 @@ Every view is lazy and reads only the columns it needs, so Parquet pruning and p
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,10 @@ SEQ_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D02 over ``interactions_raw``: the last row per (user, book) in sequence order wins."""
     from shelfwise.operators.dedup import keep_last
-    return keep_last(interactions_raw(spark, sf_dir), ["user_id", "book_id"], SEQ_COLS, ["rating"])
+    # Reused by several branches of every recommender plan: persisted (memory, spilling to disk).
+    # Identical plans share one cache entry; a lost executor recomputes its blocks from lineage.
+    return keep_last(interactions_raw(spark, sf_dir), ["user_id", "book_id"], SEQ_COLS, ["rating"]).persist(
+        StorageLevel.MEMORY_AND_DISK)
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
