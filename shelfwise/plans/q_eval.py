@@ -187,7 +187,8 @@ def r14_similar_with_metadata(spark, d):
 def _serving_tables(spark, d):
     inter = V.interactions(spark, d)
     nb = S.item_neighbors(inter, k=SERVE_K)
-    recs = R.recommend_for_users(inter, S.item_neighbors(inter, k=SCORE_K), n=SERVE_K)
+    # one neighbour table serves both: scoring uses its first SCORE_K ranks
+    recs = R.recommend_for_users(inter, nb.filter(F.col("rank") <= SCORE_K), n=SERVE_K)
     books = V.books(spark, d)
     user_recs = R.attach_metadata(recs, books)
     similar = nb.join(books.select(F.col("book_id").alias("other_id"), "title", "authors"), "other_id")
