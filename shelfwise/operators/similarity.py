@@ -17,6 +17,7 @@ put quadratic work in one task). Instead:
 """
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -32,14 +33,51 @@ _PAIR_BATCH = 2_000_000      # pair products materialised at once inside a task
 _DENSE_LIMIT = 32_000_000    # largest dense accumulator (cells) before the sparse path
 
 
-def _block_product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+def _empty(dtype) -> pd.DataFrame:
+    return pd.DataFrame({"i": pd.Series([], dtype=dtype), "j": pd.Series([], dtype=dtype),
+                         "dot": pd.Series([], dtype="float64"), "n_common": pd.Series([], dtype="int64")})
+
+
+def _top_candidates(ca, cb, acc_dot, acc_n, n2a, n2b, k: int, same: bool):
+    """Oriented (left, right) candidates holding every left column's top-k by cosine in this block
+    pair (ties and a one-unit margin kept). Works in row slabs to bound memory."""
+    na, nb = len(ca), len(cb)
+    dot = acc_dot.reshape(na, nb)
+    cnt = acc_n.reshape(na, nb)
+    if same:  # only i < j was accumulated: complete the symmetric matrix
+        dot = dot + dot.T
+        cnt = cnt + cnt.T
+    sa, sb = np.sqrt(n2a), np.sqrt(n2b)
+    out = []
+
+    def side(d, c, s_left, s_right, left_ids, right_ids):
+        for r0 in range(0, d.shape[0], 512):
+            dd, cc = d[r0:r0 + 512], c[r0:r0 + 512]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                sim = dd / (s_left[r0:r0 + 512, None] * s_right[None, :])
+            nano = np.where(cc > 0, np.floor(sim * 1e9), -1.0)
+            if nano.shape[1] > k:
+                kth = np.partition(nano, nano.shape[1] - k, axis=1)[:, nano.shape[1] - k]
+            else:
+                kth = np.full(nano.shape[0], 0.0)
+            keep = (cc > 0) & (nano >= (kth - 1)[:, None])
+            ri, rj = np.nonzero(keep)
+            out.append(pd.DataFrame({"i": left_ids[ri + r0], "j": right_ids[rj], "dot": dd[ri, rj],
+                                     "n_common": cc[ri, rj].astype("int64")}))
+
+    side(dot, cnt, sa, sb, ca, cb)
+    if not same:
+        side(dot.T, cnt.T, sb, sa, cb, ca)
+    return pd.concat(out, ignore_index=True) if out else None
+
+
+def _block_product(key: tuple, pdf: pd.DataFrame, top_k: int | None = None) -> pd.DataFrame:
     lo, hi = int(key[0]), int(key[1])
     same = lo == hi
     a = pdf[pdf["blk"] == lo]
     b = a if same else pdf[pdf["blk"] == hi]
     if a.empty or b.empty:
-        return pd.DataFrame({"i": pd.Series([], dtype=pdf["c"].dtype), "j": pd.Series([], dtype=pdf["c"].dtype),
-                             "dot": pd.Series([], dtype="float64"), "n_common": pd.Series([], dtype="int64")})
+        return _empty(pdf["c"].dtype)
     ca, ia = np.unique(a["c"].to_numpy(), return_inverse=True)
     cb, ib = (ca, ia) if same else np.unique(b["c"].to_numpy(), return_inverse=True)
     rows = np.concatenate([a["r"].to_numpy(), b["r"].to_numpy()]) if not same else a["r"].to_numpy()
@@ -58,6 +96,7 @@ def _block_product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     cum = np.cumsum(per_a)
     ncell = len(ca) * len(cb)
     dense = ncell <= _DENSE_LIMIT
+    prefilter = top_k is not None and dense
     if dense:
         acc_dot = np.zeros(ncell, dtype="float64")
         acc_n = np.zeros(ncell, dtype="int32")
@@ -89,6 +128,11 @@ def _block_product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
                 u, inv = np.unique(lin, return_inverse=True)
                 parts.append((u, np.bincount(inv, weights=prod), np.bincount(inv)))
         s = e
+    if prefilter:
+        n2a = np.bincount(ia, weights=va * va, minlength=len(ca))
+        n2b = n2a if same else np.bincount(ib, weights=vb * vb, minlength=len(cb))
+        res = _top_candidates(ca, cb, acc_dot, acc_n, n2a, n2b, top_k, same)
+        return res if res is not None else _empty(pdf["c"].dtype)
     if dense:
         nz = np.flatnonzero(acc_n)
         dots, ns = acc_dot[nz], acc_n[nz].astype("int64")
@@ -110,10 +154,14 @@ def _block_product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, max_block: int = 4096,
-                 target_group_entries: int = 2_000_000, min_groups: int | None = None) -> DataFrame:
+                 target_group_entries: int = 2_000_000, min_groups: int | None = None,
+                 top_k: int | None = None, _info: dict | None = None) -> DataFrame:
     """Sparse Gram product over a long table ``(row, col, value)`` with unique (row, col).
 
     Returns ``(i, j, dot, n_common)`` for every column pair i < j sharing at least one row.
+    With ``top_k`` and groups holding complete columns (a single row chunk), the output is
+    instead *oriented* (i -> j, both directions) and pre-filtered per block pair to the top_k
+    cosine candidates of every i (ties kept); ``_info['oriented']`` tells which form was built.
     """
     spark = entries.sparkSession
     ctype = entries.schema[col].dataType
@@ -136,7 +184,11 @@ def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, max_bloc
             .withColumn("lo", F.least("blk", "t"))
             .withColumn("hi", F.greatest("blk", "t"))
             .drop("t"))
-    partial = rep.groupBy("lo", "hi", "chunk").applyInPandas(_block_product, schema=out_schema)
+    oriented = top_k is not None and rc == 1
+    if _info is not None:
+        _info["oriented"] = oriented
+    kernel = functools.partial(_block_product, top_k=top_k if oriented else None)
+    partial = rep.groupBy("lo", "hi", "chunk").applyInPandas(kernel, schema=out_schema)
     if rc == 1:
         # every pair is produced by exactly one (lo, hi) group: nothing to combine
         return partial
@@ -144,17 +196,19 @@ def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, max_bloc
 
 
 def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: str, out_right: str,
-                 integer_values: bool = True, **kw) -> DataFrame:
+                 integer_values: bool = True, top_k: int | None = None, **kw) -> DataFrame:
     """Cosine for every co-occurring pair, in both directions.
 
-    Columns: ``out_left, out_right, dot, sim, n_common, nano``. Integer inputs keep ``dot`` and squared norms
+    Columns: ``out_left, out_right, dot, sim, n_common, nano``. With ``top_k`` the rows may be
+    limited to candidates that contain every ``out_left``'s top_k (exact ranking is done by the caller). Integer inputs keep ``dot`` and squared norms
     exact, so ``sim = dot / (sqrt(n2_i) * sqrt(n2_j))`` is bit-identical in any engine.
     """
     v = F.col(value)
     norms = entries.groupBy(col).agg(F.sum(v * v).alias("n2"))
     if integer_values:
         norms = norms.withColumn("n2", F.col("n2").cast("long"))
-    pairs = cooccurrence(entries, row, col, value, **kw)
+    info: dict = {}
+    pairs = cooccurrence(entries, row, col, value, top_k=top_k, _info=info, **kw)
     dot = F.col("dot").cast("long") if integer_values else F.col("dot")
     p = pairs.select(F.col("i"), F.col("j"), dot.alias("dot"), F.col("n_common"))
     ni = norms.select(F.col(col).alias("i"), F.col("n2").alias("n2_i"))
@@ -162,7 +216,11 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: s
     s = (p.join(ni, "i").join(nj, "j")
          .withColumn("sim", F.col("dot") / (F.sqrt("n2_i") * F.sqrt("n2_j")))
          .select("i", "j", "dot", "sim", "n_common"))
-    return mirror(s, out_left, out_right, ["dot", "sim", "n_common"]).withColumn("nano", nano("sim"))
+    if info.get("oriented"):
+        out = s.select(F.col("i").alias(out_left), F.col("j").alias(out_right), "dot", "sim", "n_common")
+    else:
+        out = mirror(s, out_left, out_right, ["dot", "sim", "n_common"])
+    return out.withColumn("nano", nano("sim"))
 
 
 def mirror(pairs: DataFrame, out_left: str, out_right: str, carry) -> DataFrame:
@@ -178,12 +236,12 @@ def item_neighbors(interactions: DataFrame, k: int = 20, user_col: str = "user_i
 
     Columns: item_col, other_col, dot, sim, nano, rank (1-based). Ties: nano desc, other id asc.
     """
-    sims = cosine_pairs(interactions, user_col, item_col, rating_col, item_col, other_col, **kw)
+    sims = cosine_pairs(interactions, user_col, item_col, rating_col, item_col, other_col, top_k=k, **kw)
     return top_k_per_group(sims, [item_col], [F.col("nano").desc(), F.col(other_col)], k)
 
 
 def user_neighbors(interactions: DataFrame, k: int, user_col: str = "user_id", item_col: str = "book_id",
                    rating_col: str = "rating", other_col: str = "other_user_id", **kw) -> DataFrame:
     """User-user cosine neighbours (the same product with roles swapped)."""
-    sims = cosine_pairs(interactions, item_col, user_col, rating_col, user_col, other_col, **kw)
+    sims = cosine_pairs(interactions, item_col, user_col, rating_col, user_col, other_col, top_k=k, **kw)
     return top_k_per_group(sims, [user_col], [F.col("nano").desc(), F.col(other_col)], k)

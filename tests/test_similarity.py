@@ -64,3 +64,32 @@ def test_dense_cosine(spark):
     df = spark.createDataFrame([([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 2.0])], "x array<double>, y array<double>")
     got = [r.c for r in df.select(dense_cosine("x", "y").alias("c")).collect()]
     assert got[0] == pytest.approx(1 / math.sqrt(2)) and got[1] == 0.0
+
+
+@pytest.mark.parametrize("max_block,target", [(4096, 2_000_000), (5, 2_000_000), (6, 40)])
+@pytest.mark.parametrize("k", [1, 3])
+def test_neighbors_prefilter_matches_brute_force(spark, max_block, target, k):
+    rnd = random.Random(11)
+    ents = set()
+    for r in range(60):
+        for c in rnd.sample(range(25), rnd.randint(1, 5)):
+            ents.add((r, c))
+    for c in range(0, 25, 2):
+        ents.add((500, c))  # hot row
+    data = [(r, c, rnd.randint(1, 3)) for r, c in sorted(ents)]
+    df = spark.createDataFrame(data, "user_id long, book_id long, rating int")
+    got = sorted((x.book_id, x.other_id, x.rank) for x in
+                 S.item_neighbors(df, k=k, max_block=max_block, target_group_entries=target).collect())
+    # brute force: exact integer dot / norms, rank by floor(sim*1e9) desc then id
+    co = brute([(r, c, float(v)) for r, c, v in data])
+    n2 = {}
+    for r, c, v in data:
+        n2[c] = n2.get(c, 0) + v * v
+    cand = {}
+    for (a, b), (d, n) in co.items():
+        s = d / (math.sqrt(n2[a]) * math.sqrt(n2[b]))
+        nano = math.floor(s * 1e9)
+        cand.setdefault(a, []).append((-nano, b))
+        cand.setdefault(b, []).append((-nano, a))
+    want = sorted((a, b, i + 1) for a, lst in cand.items() for i, (_, b) in enumerate(sorted(lst)[:k]))
+    assert got == want
