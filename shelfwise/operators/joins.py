@@ -68,10 +68,18 @@ def decode_ids(df: DataFrame, mapping: DataFrame, col: str, code_col: str) -> Da
 
 
 def unordered_pairs(keys: DataFrame, key: str) -> DataFrame:
-    """Pairs (a < b) of a sampled key set. Only for samples whose size is a parameter."""
-    a = keys.select(F.col(key).alias(f"{key}_a"))
-    b = keys.select(F.col(key).alias(f"{key}_b"))
-    return a.join(b, F.col(f"{key}_a") < F.col(f"{key}_b"))
+    """Pairs (a < b) of a sampled key set whose size is a parameter.
+
+    Keys are numbered 0..s-1 (a window over the s sampled keys only); every key lists the higher
+    numbers and pairs are an equi-join on the number, so no nested-loop join is planned.
+    """
+    idx = keys.select(key).distinct().withColumn("_i", F.row_number().over(Window.orderBy(key)) - 1)
+    s = idx.select(F.count(F.lit(1))).scalar()
+    a = idx.select(F.col(key).alias(f"{key}_a"), F.explode(F.sequence(F.col("_i") + 1, F.greatest(
+        F.col("_i") + 1, s - 1))).alias("_j"), (F.col("_i") + 1 <= s - 1).alias("_has"))
+    a = a.filter("_has").drop("_has")
+    b = idx.select(F.col(key).alias(f"{key}_b"), F.col("_i").alias("_j"))
+    return a.join(b, "_j").drop("_j")
 
 
 def with_group_count(df: DataFrame, part: str, name: str) -> DataFrame:

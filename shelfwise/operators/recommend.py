@@ -51,17 +51,18 @@ def popularity_fallback(users: DataFrame, interactions: DataFrame, n: int, user_
                         item_col: str = "book_id", rating_col: str = "rating") -> DataFrame:
     """Users without any interaction get the n most popular items.
 
-    The top-n list has at most ``n`` rows; it is folded into one array value on the driver
-    (bounded by the parameter, never by the data) and exploded per user, so no cross join.
+    The top-n list (at most ``n`` rows, a parameter) reaches every row as one scalar-subquery array
+    and is exploded per user: no cross join and no driver round trip.
     """
-    top = popular_items(interactions, n, item_col, rating_col).collect()
-    items = F.array(*[F.struct(F.lit(r[item_col]).alias(item_col), F.lit(r["popularity"]).alias("popularity"),
-                               F.lit(i + 1).alias("rank")) for i, r in enumerate(top)]) if top else \
-        F.array().cast(f"array<struct<{item_col}:bigint,popularity:bigint,rank:int>>")
+    top = popular_items(interactions, n, item_col, rating_col)
+    ranked = top.agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("popularity")).alias("_neg"), F.col(item_col).alias(item_col),
+        F.col("popularity").alias("popularity")))).alias("lst")).scalar()
     cold = users.select(user_col).distinct().join(interactions.select(user_col).distinct(), user_col, "left_anti")
-    return cold.select(user_col, F.explode(items).alias("p")).select(
+    with_list = cold.select(user_col, ranked.alias("_lst"))
+    return with_list.select(user_col, F.posexplode("_lst").alias("pos", "p")).select(
         user_col, F.col(f"p.{item_col}").alias(item_col), F.col("p.popularity").alias("popularity"),
-        F.col("p.rank").alias("rank"))
+        (F.col("pos") + 1).cast("int").alias("rank"))
 
 
 def predict_user_based(interactions: DataFrame, user_nbrs: DataFrame, n: int = 10, user_col: str = "user_id",

@@ -13,7 +13,9 @@ from shelfwise.operators import text as TX
 from shelfwise.operators.ranking import sample_keys
 from shelfwise.plans import views as V
 from shelfwise.plans.q_text import MAX_DF, MIN_DF, book_docs, tfidf_sql, BOOK_TEXT_SQL
-from shelfwise.plans.registry import BOOKS_SQL, INTER_SQL, SPLIT_SQL, cosine_sql, query, topk_sql
+from shelfwise.plans.q_clean import CLEAN_BOOKS_SQL
+from shelfwise.plans.registry import (BOOKS_SQL, DIRTY_BOOKS_SQL, INTER_SQL, SPLIT_SQL, cosine_sql, query,
+                                      topk_sql)
 from shelfwise.schemas import PAYLOAD, RATINGS
 from shelfwise.session import scratch_path
 from shelfwise.sources import readers as RD
@@ -209,3 +211,24 @@ def k09_test_report(spark, d):
         F.struct(ov.select(F.avg("jaccard")).scalar().alias("mean_jaccard"),
                  per_user.select(F.count(F.lit(1))).scalar().alias("n_users")).alias("summary"))
     return write_table(report, "test_report", spark, fmt="json")
+
+
+@query("r15_metadata", f"""WITH {INTER_SQL}, {BOOKS_SQL}, {DIRTY_BOOKS_SQL}, {CLEAN_BOOKS_SQL},
+prim AS (SELECT book_id, title, authors FROM (
+           SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY title, authors) AS rn FROM clean_books
+           WHERE NOT (contains(title, 'Unknown') AND authors = 'Unknown')) t WHERE rn = 1),
+ids AS (SELECT DISTINCT book_id FROM interactions),
+p AS (SELECT prim.* FROM prim WHERE book_id IN (SELECT book_id FROM ids))
+SELECT book_id, title, authors FROM p
+UNION ALL
+SELECT b.book_id, b.title, b.authors FROM books b
+WHERE b.book_id IN (SELECT book_id FROM ids) AND b.book_id NOT IN (SELECT book_id FROM p)""")
+def r15_metadata(spark, d):
+    """Metadata for every rated book from the cleaned table (placeholders dropped, one row per
+    id), the raw book dimension filling the ids the cleaned table lacks (S04 per_key, P15, D03, P16)."""
+    from shelfwise.operators import cleaning as C
+    from shelfwise.operators.dedup import keep_first
+    prim = C.drop_placeholders(C.clean_books(V.dirty_books(spark, d)))
+    prim = keep_first(prim.select("book_id", "title", "authors"), ["book_id"], ["title", "authors"])
+    ids = V.interactions(spark, d).select("book_id")
+    return RD.metadata_with_fallback(prim, V.books(spark, d), ids, mode="per_key")

@@ -18,7 +18,8 @@ def start_book_ingest(spark: SparkSession, incoming_dir: str, books_path: str, r
                       ratings_for_batch, schema: T.StructType, checkpoint: str, trigger_once: bool = True):
     """Stream incoming book files (``schema``, Parquet) into the versioned merged tables.
 
-    ``ratings_for_batch(batch_df) -> DataFrame`` supplies the incoming ratings of a batch.
+    ``ratings_for_batch(batch_df) -> DataFrame`` supplies the incoming ratings of a batch as
+    (user_id, book_id, rating, _pos long), ``_pos`` ordering repeated pairs within the batch.
     """
     stream = spark.readStream.schema(schema).parquet(incoming_dir)
 
@@ -31,8 +32,7 @@ def start_book_ingest(spark: SparkSession, incoming_dir: str, books_path: str, r
         old_b = cur_b.filter(F.col("version") == vb).drop("version")
         old_r = cur_r.filter(F.col("version") == vb).drop("version")
         inc_r = ratings_for_batch(batch)
-        books, ratings = append_ingest(old_b, old_r.withColumn("_pos", F.struct(F.lit(0).alias("p"))),
-                                       batch, inc_r)
+        books, ratings = append_ingest(old_b, old_r.withColumn("_pos", F.lit(0).cast("long")), batch, inc_r)
         nv = vb + 1
         books.withColumn("version", F.lit(nv)).write.mode("append").partitionBy("version").parquet(books_path)
         ratings.withColumn("version", F.lit(nv)).write.mode("append").partitionBy("version").parquet(ratings_path)
