@@ -19,9 +19,12 @@ from __future__ import annotations
 
 import functools
 import math
+import sys
+import warnings
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +32,10 @@ from pyspark.sql import types as T
 from shelfwise.functions.exprs import nano
 from shelfwise.operators.ranking import top_k_per_group
 
+# The block kernel runs in Python workers, which need not have this package on their path:
+# ship this module's functions by value with the task instead of by import reference.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PAIR_BATCH = 2_000_000      # pair products materialised at once inside a task
 _DENSE_LIMIT = 32_000_000    # largest dense accumulator (cells) before the sparse path
 
@@ -188,7 +195,9 @@ def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, max_bloc
     if _info is not None:
         _info["oriented"] = oriented
     kernel = functools.partial(_block_product, top_k=top_k if oriented else None)
-    partial = rep.groupBy("lo", "hi", "chunk").applyInPandas(kernel, schema=out_schema)
+    with warnings.catch_warnings():  # a partial carries no type hints; the eval type is explicit anyway
+        warnings.simplefilter("ignore", UserWarning)
+        partial = rep.groupBy("lo", "hi", "chunk").applyInPandas(kernel, schema=out_schema)
     if rc == 1:
         # every pair is produced by exactly one (lo, hi) group: nothing to combine
         return partial

@@ -49,3 +49,22 @@ def test_scan_prunes_columns(spark):
     from shelfwise.plans import views as V
     plan = V.books(spark, SF).select("book_id", "title")._jdf.queryExecution().executedPlan().toString()
     assert "p_retailprice" not in plan.split("ReadSchema")[-1].split("\n")[0] if "ReadSchema" in plan else True
+
+
+def test_entry_runs_outside_the_repo(tmp_path):
+    """Python workers must not need the package on their path (the kernel ships by value)."""
+    import os
+    import subprocess
+    import sys
+    entry = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    code = (
+        "import importlib.util\n"
+        f"spec = importlib.util.spec_from_file_location('se', {entry!r})\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('ROWS', m.entry(s).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
