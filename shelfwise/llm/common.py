@@ -51,7 +51,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
+    if len(_POWERS.get("up", ())) < max(n, 1):
         size = max(n, 1 << 20)
         _POWERS["up"] = np.cumprod(np.full(size, _MULT, np.uint64))
         _POWERS["down"] = np.cumprod(np.full(size, _INV, np.uint64))

@@ -3,6 +3,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.sql import functions as F
+
+from shelfwise.llm import decontaminate, line_dedup, mixing, quality_rules, url_filter
 from shelfwise.llm.substring_dedup import remove_shared_passages
 from shelfwise.llm.suffix_dedup import remove_repeats
 from shelfwise.llm.tables import read
@@ -24,3 +27,39 @@ def op1_suffix_array_dedup(spark, sf_dir):
 @query
 def op10_substring_dedup(spark, sf_dir):
     return remove_shared_passages(read(spark, sf_dir, "documents"), length=35).drop("spans")
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    judged, out = quality_rules.judge(docs.select("doc_id", "text"), labels)
+    q = F.col(out)
+    return judged.select("doc_id", *(q[c].alias(c) for c in (*quality_rules.COUNTS, "base_failed", "rule", "kept")))
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    done, out = line_dedup.remove_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return done.select("doc_id", f"{out}.*", F.md5("text").alias("kept_md5"))
+
+
+ORACLE["op4_line_dedup"] = line_dedup.ORACLE
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_url_filter(spark, sf_dir):
+    judged, out = url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), url_filter.RULES)
+    return judged.select("page_id", f"{out}.*")
+
+
+ORACLE["op7_url_filter"] = url_filter.ORACLE
+
+
+@query
+def op8_source_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents"))

@@ -30,7 +30,7 @@ from shelfwise.llm.tables import written
 MAX_RUN = 256  # windows that one segment can hold
 PLACE_BITS = (1 << 28) - 1  # low bits of a ranked gram tell where it stands
 NULL_ID = np.iinfo(np.int64).max
-BLOCK_BYTES = 1 << 20  # an engine gets whole anchors of about this size at a time
+BLOCK_BYTES = 1 << 19  # an engine gets whole anchors of about this size at a time; small blocks sort in cache
 
 DOC = "did long, h long, z binary"
 PLACE = "anchor long, did long, h long, pack long"
@@ -54,7 +54,7 @@ def pack_texts(docs: DataFrame) -> DataFrame:
 def keyed(docs: DataFrame) -> DataFrame:
     """did, h, text of every row; other columns are left out, whatever their names."""
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"),
-                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"), F.col("text").alias("text"))
+                       F.hash(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("h"), F.col("text").alias("text"))
 
 
 def segments_of(symbols: np.ndarray, first: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:

@@ -11,32 +11,35 @@ def ranks(keys: np.ndarray, remaining: np.ndarray, first_depth: int, longest: in
 
     ``keys`` orders positions by their first ``first_depth`` symbols (ends included), ``remaining`` is the
     number of symbols up to the end of the position's sequence (0 at its terminator). Depths double until
-    ``longest`` is covered; equal suffixes stand in text order, as if every terminator were unique.
+    ``longest`` is covered or no two positions tie; only ties are sorted again. A rank is the row at which its
+    group starts. Equal suffixes stand in text order, as if every terminator were unique.
     """
-    n = len(keys)
-    rank, order = _rank(keys)
-    by_depth = {first_depth: rank}
-    depth = first_depth
-    while depth < longest:
-        ahead = np.zeros(n, np.uint64)
-        inside = np.flatnonzero(remaining >= depth)
-        ahead[inside] = rank[inside + depth].astype(np.uint64) + np.uint64(1)
-        rank, order = _rank((rank.astype(np.uint64) << np.uint64(32)) | ahead)
-        depth *= 2
-        by_depth[depth] = rank
-    suffixes = np.lexsort((np.arange(n), rank)) if n else order
-    return suffixes, by_depth
-
-
-def _rank(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     ordered = keys[order]
-    step = np.empty(len(keys), np.int64)
-    step[:1] = 0
-    step[1:] = ordered[1:] != ordered[:-1]
-    rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(step)
-    return rank, order
+    new = np.append(True, ordered[1:] != ordered[:-1])  # rows that start a group
+    rank = np.empty(len(keys), np.uint64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0)).astype(np.uint64)
+    by_depth, depth = {first_depth: rank.copy()}, first_depth
+    while True:
+        rows = np.flatnonzero(~(new & np.append(new[1:], True)))
+        tied = order[rows]
+        last = depth >= longest or not len(rows)
+        if last:
+            ahead = tied.astype(np.uint64)
+        else:
+            ahead = np.zeros(len(tied), np.uint64)
+            inside = np.flatnonzero(remaining[tied] >= depth)
+            ahead[inside] = rank[tied[inside] + depth] + np.uint64(1)
+        key = (rank[tied] << np.uint64(32)) | ahead
+        by_key = np.argsort(key)
+        tied, key = tied[by_key], key[by_key]
+        order[rows] = tied
+        if last:
+            return order, by_depth
+        new[rows[1:]] |= key[1:] != key[:-1]
+        rank[tied] = np.maximum.accumulate(np.where(new[rows], rows, 0)).astype(np.uint64)
+        depth *= 2
+        by_depth[depth] = rank.copy()
 
 
 def join(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

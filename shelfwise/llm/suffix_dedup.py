@@ -39,12 +39,7 @@ class RunLengthIndex:
         lengths = np.fromiter(map(len, strings), np.int64, len(strings))
         self.starts, left = join(lengths)
         text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
-        key = np.zeros(len(text), np.uint64)
-        for i in range(BASE):
-            ahead = np.zeros(len(text), np.uint64)
-            ahead[:len(text) - i] = text[i:]
-            key |= np.where(left > i, ahead, np.uint64(0)) << np.uint64(8 * (7 - i))
-        key |= np.minimum(left, BASE).astype(np.uint64)
+        key = _first_bytes(text, left)
         order, by_depth = ranks(key, left, BASE, int(lengths.max()) + 1)
         head = order == 0
         before = np.where(head, 256, text[order - 1].astype(np.int64))
@@ -74,6 +69,18 @@ class RunLengthIndex:
         return self.run_to[run] + rows - self.run_start[run]
 
 
+def _first_bytes(text: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Sort key of every position: its next ``BASE`` bytes, up to the end of its string, and how many they are."""
+    key = np.zeros(len(text) + 8, np.uint64)
+    key[:len(text)] = text
+    for width in (1, 2, 4):  # 2, 4, then 8 bytes from every position, the first one highest
+        key[:-width] = (key[:-width] << np.uint64(8 * width)) | key[width:]
+    size = np.minimum(left, BASE).astype(np.uint64)
+    drop = np.uint64(64) - np.uint64(8) * size
+    drop[size == 0] = 63
+    return ((key[:len(text)] >> drop) << drop) * (size > 0) | size
+
+
 def matching_windows(strings: list[bytes], runs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, offset, interval) of every window, found by streaming the strings through their index."""
     index = RunLengthIndex(strings, length)

@@ -2,9 +2,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, StructField, StructType
 
+from shelfwise.llm.common import ship
 from shelfwise.session import checkpoint_dir
 
 
@@ -22,3 +26,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column has it (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def append_column(df: DataFrame, name: str, kind: str, inputs: list[str], kernel: Callable) -> DataFrame:
+    """All columns of ``df`` and one made by ``kernel(*arrow arrays)`` per batch; rows keep their place, no shuffle."""
+    schema = StructType([*df.schema.fields, StructField(name, DataType.fromDDL(kind))])
+    at = [df.columns.index(c) for c in inputs]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = kernel(*(batch.column(i) for i in at))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+    return df.mapInArrow(run, schema)
+
+
+ship(__name__)

@@ -57,3 +57,49 @@ def word_dedup(rows, length=35):
                 gone[i:i + length] = [True] * length
         out[did] = (len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g).encode()))
     return out
+
+
+def quality_counts(text):
+    from collections import Counter
+    text = text or ""
+    w = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    grams = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+    rep = [False] * len(w)
+    for i in range(len(w) - 7):
+        if grams[tuple(w[i:i + 8])] > 1:
+            rep[i:i + 8] = [True] * 8
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, sum(rep),
+            sum(a == b for a, b in zip(w, w[1:])))
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(docs, items, width=10):
+    windows = []
+    for item, text in items:
+        w = BENCH_WORD.findall(lower(text))
+        if w:
+            windows.append((item, {tuple(w[i:i + width]) for i in range(max(len(w) - width, 0) + 1)}))
+    out = {}
+    for did, text in docs:
+        w = BENCH_WORD.findall(lower(text))
+        hit, names = [False] * len(w), set()
+        for item, wins in windows:
+            for win in wins:
+                for i in range(len(w) - len(win) + 1):
+                    if tuple(w[i:i + len(win)]) == win:
+                        hit[i:i + len(win)] = [True] * len(win)
+                        if item is not None:
+                            names.add(str(item))
+        out[did] = (len(w), sum(hit), len(names), sha(",".join(sorted(names)).encode()), any(hit))
+    return out
