@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from shelfwise.llm import decontaminate, line_dedup, mixing, quality_rules, url_filter
+from shelfwise.llm.jaccard_join import near_duplicates
 from shelfwise.llm.substring_dedup import remove_shared_passages
 from shelfwise.llm.suffix_dedup import remove_repeats
 from shelfwise.llm.tables import read
@@ -29,6 +30,11 @@ def op10_substring_dedup(spark, sf_dir):
     return remove_shared_passages(read(spark, sf_dir, "documents"), length=35).drop("spans")
 
 
+@query
+def op2_ngram_jaccard_join(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents"), width=5, percent=80)
+
+
 @query
 def op3_quality_rules(spark, sf_dir):
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")

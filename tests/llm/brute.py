@@ -103,3 +103,25 @@ def contamination(docs, items, width=10):
                             names.add(str(item))
         out[did] = (len(w), sum(hit), len(names), sha(",".join(sorted(names)).encode()), any(hit))
     return out
+
+
+def jaccard_groups(rows, width=5, percent=80):
+    """rows: (doc_id, text) with distinct ids; {doc_id: (n_shingles, component_id)}."""
+    sets = {}
+    for did, text in rows:
+        w = WORD.findall(lower(text))
+        sets[did] = {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1:]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d)) for d in ids}
