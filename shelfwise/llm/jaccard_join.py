@@ -6,13 +6,13 @@ documents link when 100 * |intersection| >= ``percent`` * |union|. Shingles are
 
 Method: equal sets are one node with many members. Shingles are ordered rare-first by a frequency sketch of fixed size (any
 order that all documents share is right; rare-first keeps the groups small). Nodes meet on the shingles of their
-prefixes, n - ceil(n * percent / 100) + 1 long. Pairs pass the length and the positional filter there, then once per
-pair a suffix filter (sizes of the parts between pivots bound the overlap) and the exact overlap.
+prefixes, n - ceil(n * percent / 100) + 1 long. Pairs pass the length, positional and suffix filters there (the sizes of
+the sets' hash parts bound the overlap), then once per pair the exact overlap.
 
 A shingle shared by many near copies would give all their pairs. So nodes are first held against one hub per
-shingle and length band; the links found give components. Then only pairs of one shingle that are still in
-different components are made and verified, all of them. No link between different components is lost, and no
-pair inside one is needed.
+shingle and length band; the links found give components, and shingles with several components get further
+hubs while that saves pairs. In the end all pairs of one shingle that are still in different components are made and verified. No
+link between different components is lost, and no pair inside one is needed.
 
 Broadcast: the sketch (``SLOTS`` counters, fixed). Cases: null or empty text has no set and is its own component;
 null ids never name a component (it is null if all its ids are); repeated rows are members of one node; an empty
@@ -20,6 +20,7 @@ table gives an empty result; extra columns are ignored.
 """
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ from shelfwise.llm.tables import written
 
 SLOTS = 1 << 20  # counters of the frequency sketch
 BLOCK = 1 << 12
+PARTS = 64  # hash parts of a set whose sizes bound the overlap of two sets
 POS = 1 << 24  # n and position of a prefix shingle in one number
 
 
@@ -112,7 +114,10 @@ def frequencies(sketch: DataFrame) -> np.ndarray:
 
 
 def nodes(docs: DataFrame, width: int) -> DataFrame:
-    """(v, z): one packed text per distinct set, hash-partitioned by v and kept on the executors' disks."""
+    """(v, z, parts): one packed text per distinct set and how many of its shingles fall in each hash part.
+
+    Hash-partitioned by v and kept on the executors' disks; a lost part is computed again.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, seen = zstandard.ZstdCompressor(level=1), set()
         for batch in batches:
@@ -126,10 +131,14 @@ def nodes(docs: DataFrame, width: int) -> DataFrame:
                         seen.add(v)
                         keep.append(i)
                 z = [press.compress(data[off[a + i]:off[a + i + 1]].tobytes()) for i in keep]
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array(z, pa.binary())], ["v", "z"])
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = docs.select(F.col("text").alias("text")).mapInArrow(run, "v long, z binary")
-    return found.repartition(parts, "v").dropDuplicates(["v"]).persist(StorageLevel.DISK_ONLY)
+                sizes = np.bincount(rows_of(first) * PARTS + (value % PARTS).astype(np.int64), minlength=PARTS * len(ids))
+                sizes = np.minimum(sizes.reshape(-1, PARTS)[keep], 127).astype(np.int8)  # a lower bound stays one
+                parts = pa.ListArray.from_arrays(np.arange(0, sizes.size + 1, PARTS, dtype=np.int32), pa.array(sizes.ravel(), pa.int8()))
+                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array(z, pa.binary()), parts],
+                                                 ["v", "z", "parts"])
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = docs.select(F.col("text").alias("text")).mapInArrow(run, "v long, z binary, parts array<tinyint>")
+    return found.repartition(n, "v").dropDuplicates(["v"]).persist(StorageLevel.DISK_ONLY)
 
 
 def unpacked_sets(packed: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +165,7 @@ def prefixes(all_nodes: DataFrame, order, width: int, percent: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(value[at].view(np.int64)), pa.array(np.repeat(v, size)), pa.array(np.repeat(n, size) * POS + place)],
                     ["token", "v", "place"])
-    return all_nodes.mapInArrow(run, "token long, v long, place long")
+    return all_nodes.select("v", "z").mapInArrow(run, "token long, v long, place long")
 
 
 def meetings(tokens: DataFrame, percent: int) -> DataFrame:
@@ -195,6 +204,13 @@ def may_link(place: Column, other: Column, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (rest >= need)
 
 
+def parts_fit(place: Column, other: Column, parts: Column, others: Column, percent: int) -> Column:
+    """Suffix filter over hash parts: what the parts' sizes differ by cannot be shared."""
+    total = F.floor(place / POS) + F.floor(other / POS)
+    apart = F.aggregate(F.zip_with(parts, others, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    return apart <= total - 2 * F.ceil(total * percent / (100 + percent))
+
+
 def verified(pairs: DataFrame, all_nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link. Every pair comes once; a is the side that may repeat often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,53 +236,97 @@ def verified(pairs: DataFrame, all_nodes: DataFrame, width: int, percent: int) -
     return full.sortWithinPartitions("a").mapInArrow(run, "a long, b long")
 
 
-def _overlap_links(x: np.ndarray, y: np.ndarray, percent: int, pivots: int = 7) -> bool:
-    """Suffix filter, then the exact overlap of two sorted sets."""
-    n = len(x) + len(y)
-    need = -(-n * percent // (100 + percent))
-    at = np.linspace(0, len(y), pivots + 2).astype(int)[1:-1]
-    cut = np.searchsorted(x, y[np.minimum(at, len(y) - 1)])
-    parts = np.abs(np.diff(np.concatenate([[0], cut, [len(x)]])) - np.diff(np.concatenate([[0], at, [len(y)]])))
-    if int(parts.sum()) > n - 2 * need:  # elements that cannot be shared
-        return False
+def _overlap_links(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link, by their exact overlap."""
     place = np.searchsorted(x, y)
     place[place == len(x)] = 0
     both = int((x[place] == y).sum())
-    return 100 * both >= percent * (n - both)
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, v, n) of every row, (v, root) of the nodes that are linked to a smaller one)."""
+    """((doc_id, v, n) of every row, (v, root) of the nodes that are linked to a smaller one).
+
+    Hub rounds go on while the open pairs outnumber the rows that make them and become fewer; then all open
+    pairs are verified.
+    """
     spark = docs.sparkSession
     members, sketch = members_and_sketch(docs, width)
     order = spark.sparkContext.broadcast(frequencies(sketch))  # SLOTS numbers
     all_nodes = nodes(docs, width)
     met = written(meetings(prefixes(all_nodes, order, width, percent), percent), "shingle-meetings")
-    hubs = met.filter((F.col("v") != F.col("hub")) & may_link(F.col("place"), F.col("hub_place"), percent)).select(
+    pairs = met.filter((F.col("v") != F.col("hub")) & may_link(F.col("place"), F.col("hub_place"), percent)).select(
         F.col("hub").alias("a"), F.col("v").alias("b")).distinct()
-    hubs = written(hubs, "hub-pairs")
-    linked = written(verified(hubs, all_nodes, width, percent), "hub-links")
-    root = components(linked)
-    # what the hubs left open: nodes of one shingle in different components
-    labelled = met.select("token", "v", "place").join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    labelled = written(labelled, "labelled-meetings")
-    several = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
-    still = labelled.join(several, "token", "left_semi")
-    # nodes link only within a factor of 100 / percent in size: they share a band or are in neighbouring ones
-    band = F.floor(F.log(F.floor(F.col("place") / POS)) / F.log(F.lit(100.0 / percent))).cast("int")
-    x = still.select("token", F.col("v").alias("a"), F.col("place").alias("pa"), F.col("root").alias("ra"),
-                     F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-    y = still.select("token", F.col("v").alias("b"), F.col("place").alias("pb"), F.col("root").alias("rb"), band.alias("band"))
-    open_pairs = x.join(y, ["token", "band"]).filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & may_link(
-        F.col("pa"), F.col("pb"), percent)).select("a", "b").distinct()
-    done = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = written(open_pairs.join(done, ["a", "b"], "left_anti"), "open-pairs")
-    more = verified(rest, all_nodes, width, percent)
-    root = components(linked.unionByName(more))
+    met = met.select("token", "v", "place")
+    tried = linked = None
+    before, last = float("inf"), False
+    for round_ in itertools.count():
+        pairs = written(pairs, "pairs")
+        found = written(verified(pairs, all_nodes, width, percent), "links")
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tried = ordered if tried is None else tried.unionByName(ordered)
+        linked = found if linked is None else linked.unionByName(found)
+        root = components(linked)
+        if last:
+            break
+        # what the pairs so far left open: nodes of one shingle in different components
+        labelled = met.join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
+        labelled = written(_several_components(labelled).join(all_nodes.select("v", "parts"), "v"), "open-meetings")
+        rows, open_pairs = _sizes(labelled)
+        if not open_pairs:
+            break
+        last = open_pairs <= rows or open_pairs > 0.7 * before  # few are left, or hubs no longer bring much together
+        before = open_pairs
+        pairs = _all_pairs(labelled, percent) if last else _hub_pairs(labelled, percent, round_)
+        pairs = pairs.join(tried, (F.least(pairs["a"], pairs["b"]) == tried["a"]) & (F.greatest(pairs["a"], pairs["b"]) == tried["b"]),
+                           "left_anti")
+        met = labelled.select("token", "v", "place")
     all_nodes.unpersist()
     return members, root
 
 
+def _several_components(met: DataFrame) -> DataFrame:
+    """The rows (token, v, place, root) whose shingle still has nodes of several components."""
+    several = met.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
+    return met.join(several, "token", "left_semi").select("token", "v", "place", "root")
+
+
+def _sizes(met: DataFrame) -> tuple[int, int]:
+    """How many rows there are, and how many pairs of different components they would make."""
+    parts = met.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
+    per = parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2), F.lit(0))).first()
+
+
+def _bands(met: DataFrame, percent: int, *moves: int) -> tuple[DataFrame, DataFrame]:
+    """The rows moved to neighbouring size bands, and in their own: linked nodes are in the same or in neighbouring bands."""
+    band = F.floor(F.log(F.floor(F.col("place") / POS)) / F.log(F.lit(100.0 / percent))).cast("int")
+    wide = met.select("token", F.col("v").alias("b"), F.col("place").alias("pb"), F.col("root").alias("rb"), F.col("parts").alias("sb"),
+                      band.alias("band"), F.explode(F.array(*map(F.lit, moves))).alias("moved")).withColumn("band", F.col("band") + F.col("moved"))
+    return wide, met.select("token", F.col("v").alias("a"), F.col("place").alias("pa"), F.col("root").alias("ra"),
+                            F.col("parts").alias("sa"), band.alias("band"))
+
+
+def _hub_pairs(met: DataFrame, percent: int, round_: int) -> DataFrame:
+    """One node per shingle and band, another one each round, against all of other components."""
+    wide, own = _bands(met, percent, -1, 0, 1)
+    hubs = own.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("a", F.lit(round_)).alias("by"), "a", "pa", "ra", "sa")).alias("hub"))
+    hubs = hubs.select("token", "band", "hub.a", "hub.pa", "hub.ra", "hub.sa")
+    return wide.join(hubs, ["token", "band"]).filter((F.col("ra") != F.col("rb")) & _fit(percent)).select("a", "b").distinct()
+
+
+def _all_pairs(met: DataFrame, percent: int) -> DataFrame:
+    """All pairs of one shingle in different components."""
+    wide, own = _bands(met, percent, 0, 1)
+    return wide.join(own, ["token", "band"]).filter(
+        ((F.col("moved") == 1) | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & _fit(percent)).select("a", "b").distinct()
+
+
+def _fit(percent: int) -> Column:
+    pa_, pb = F.col("pa"), F.col("pb")
+    return may_link(pa_, pb, percent) & parts_fit(pa_, pb, F.col("sa"), F.col("sb"), percent)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``."""
     members, root = links(docs, width, percent)

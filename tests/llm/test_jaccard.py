@@ -62,7 +62,7 @@ def test_components_of_a_long_chain(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_suffix_filter_keeps_what_links():
+def test_overlap():
     rng = np.random.default_rng(2)
     for _ in range(300):
         n = int(rng.integers(1, 60))
