@@ -10,8 +10,8 @@ prefixes, n - ceil(n * percent / 100) + 1 long. Pairs pass the length, positiona
 the sets' hash parts bound the overlap), then once per pair the exact overlap.
 
 A shingle shared by many near copies would give all their pairs. So nodes are first held against one hub per
-shingle and length band; the links found give components, and shingles with several components get further
-hubs while that saves pairs. In the end all pairs of one shingle that are still in different components are made and verified. No
+shingle and length band; the links found give components, and shingles with several components get a second
+hub. In the end all pairs of one shingle that are still in different components are made and verified. No
 link between different components is lost, and no pair inside one is needed.
 
 Broadcast: the sketch (``SLOTS`` counters, fixed). Cases: null or empty text has no set and is its own component;
@@ -20,7 +20,6 @@ table gives an empty result; extra columns are ignored.
 """
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +27,17 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import (gram_hash, lower_ascii, mix, rows_of, ship, slices, span_hash, prefix_hash, spread, utf8,
                                   word_hash, word_spans)
 from shelfwise.llm.components import components
-from shelfwise.llm.tables import written
+from shelfwise.llm.tables import free_name, written
 
 SLOTS = 1 << 20  # counters of the frequency sketch
 BLOCK = 1 << 12
-PARTS = 64  # hash parts of a set whose sizes bound the overlap of two sets
+PARTS = 32  # hash parts of a set whose sizes bound the overlap of two sets
 POS = 1 << 24  # n and position of a prefix shingle in one number
 
 
@@ -74,13 +73,17 @@ def slot_of(value: np.ndarray) -> np.ndarray:
     return (value >> np.uint64(44)).astype(np.int64)
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def members_and_sketch(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, v, n) of every row, and (block, counts) partial sketches of every task."""
+    """(doc_id, h, v, n) of every row (h: hash of the text), and (block, counts) partial sketches of every task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SLOTS, np.int64)
-        names = ["doc_id", "v", "n", "block", "counts"]
+        names = ["doc_id", "h", "v", "n", "block", "counts"]
         for batch in batches:
-            data, off = utf8(batch.column(1))
+            data, off = utf8(batch.column(2))
             v, n = [], []
             for a, b in slices(off):
                 value, first = shingle_sets(data[off[a]:off[b]], off[a:b + 1] - off[a], width)
@@ -89,16 +92,16 @@ def members_and_sketch(docs: DataFrame, width: int) -> tuple[DataFrame, DataFram
                 n.append(np.diff(first))
             if v:
                 rows = batch.num_rows
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(v)), pa.array(np.concatenate(n).astype(np.int64)),
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(v)), pa.array(np.concatenate(n).astype(np.int64)),
                                                   pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
         if sketch.any():
             small = np.minimum(sketch, 255).astype(np.uint8).reshape(-1, BLOCK)  # a task's count stops at 255: order is all it is for
             k = len(small)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(k, pa.int64()) for _ in range(4)),
                                               pa.array(np.arange(k, dtype=np.int32)), pa.array([x.tobytes() for x in small], pa.binary())], names)
-    both = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(
-        run, "doc_id long, v long, n long, block int, counts binary"), "shingle-members")
-    return both.filter("block is null").select("doc_id", "v", "n"), both.filter("block is not null").select("block", "counts")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("h"), F.col("text").alias("text"))
+    both = written(rows.mapInArrow(run, "doc_id long, h long, v long, n long, block int, counts binary"), "shingle-members")
+    return both.filter("block is null").select("doc_id", "h", "v", "n"), both.filter("block is not null").select("block", "counts")
 
 
 def frequencies(sketch: DataFrame) -> np.ndarray:
@@ -245,10 +248,9 @@ def _overlap_links(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, v, n) of every row, (v, root) of the nodes that are linked to a smaller one).
+    """((doc_id, h, v, n) of every row, (v, root) of the nodes that are linked to a smaller one).
 
-    Hub rounds go on while the open pairs outnumber the rows that make them and become fewer; then all open
-    pairs are verified.
+    Two rounds of hubs bring most near copies together; then all open pairs are verified.
     """
     spark = docs.sparkSession
     members, sketch = members_and_sketch(docs, width)
@@ -259,28 +261,21 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
         F.col("hub").alias("a"), F.col("v").alias("b")).distinct()
     met = met.select("token", "v", "place")
     tried = linked = None
-    before, last = float("inf"), False
-    for round_ in itertools.count():
+    for round_ in ("hubs of the stream", "other hubs", "all that is open"):
         pairs = written(pairs, "pairs")
         found = written(verified(pairs, all_nodes, width, percent), "links")
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         tried = ordered if tried is None else tried.unionByName(ordered)
         linked = found if linked is None else linked.unionByName(found)
         root = components(linked)
-        if last:
+        if round_ == "all that is open":
             break
         # what the pairs so far left open: nodes of one shingle in different components
         labelled = met.join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
-        labelled = written(_several_components(labelled).join(all_nodes.select("v", "parts"), "v"), "open-meetings")
-        rows, open_pairs = _sizes(labelled)
-        if not open_pairs:
-            break
-        last = open_pairs <= rows or open_pairs > 0.7 * before  # few are left, or hubs no longer bring much together
-        before = open_pairs
-        pairs = _all_pairs(labelled, percent) if last else _hub_pairs(labelled, percent, round_)
+        labelled = written(_several_components(labelled), "open-meetings").join(all_nodes.select("v", "parts"), "v")
+        pairs = _hub_pairs(labelled, percent) if round_ == "hubs of the stream" else _all_pairs(labelled, percent)
         pairs = pairs.join(tried, (F.least(pairs["a"], pairs["b"]) == tried["a"]) & (F.greatest(pairs["a"], pairs["b"]) == tried["b"]),
                            "left_anti")
-        met = labelled.select("token", "v", "place")
     all_nodes.unpersist()
     return members, root
 
@@ -291,35 +286,35 @@ def _several_components(met: DataFrame) -> DataFrame:
     return met.join(several, "token", "left_semi").select("token", "v", "place", "root")
 
 
-def _sizes(met: DataFrame) -> tuple[int, int]:
-    """How many rows there are, and how many pairs of different components they would make."""
-    parts = met.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
-    per = parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inner"))
-    return per.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("inner")) / 2), F.lit(0))).first()
-
-
 def _bands(met: DataFrame, percent: int, *moves: int) -> tuple[DataFrame, DataFrame]:
     """The rows moved to neighbouring size bands, and in their own: linked nodes are in the same or in neighbouring bands."""
     band = F.floor(F.log(F.floor(F.col("place") / POS)) / F.log(F.lit(100.0 / percent))).cast("int")
-    wide = met.select("token", F.col("v").alias("b"), F.col("place").alias("pb"), F.col("root").alias("rb"), F.col("parts").alias("sb"),
-                      band.alias("band"), F.explode(F.array(*map(F.lit, moves))).alias("moved")).withColumn("band", F.col("band") + F.col("moved"))
-    return wide, met.select("token", F.col("v").alias("a"), F.col("place").alias("pa"), F.col("root").alias("ra"),
-                            F.col("parts").alias("sa"), band.alias("band"))
+    names = {"v": "v", "place": "p", "root": "r", "parts": "s"}
+    side = lambda x: met.withColumn("band", band).withColumnsRenamed(
+        {old: x if old == "v" else new + x for old, new in names.items()})
+    wide = side("b").withColumn("moved", F.explode(F.array(*map(F.lit, moves)))).withColumn("band", F.col("band") + F.col("moved"))
+    return wide, side("a")
 
 
-def _hub_pairs(met: DataFrame, percent: int, round_: int) -> DataFrame:
-    """One node per shingle and band, another one each round, against all of other components."""
+def _hub_pairs(met: DataFrame, percent: int) -> DataFrame:
+    """One other node per shingle and band against all of other components."""
     wide, own = _bands(met, percent, -1, 0, 1)
-    hubs = own.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("a", F.lit(round_)).alias("by"), "a", "pa", "ra", "sa")).alias("hub"))
+    hubs = own.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("a").alias("by"), "a", "pa", "ra", "sa")).alias("hub"))
     hubs = hubs.select("token", "band", "hub.a", "hub.pa", "hub.ra", "hub.sa")
     return wide.join(hubs, ["token", "band"]).filter((F.col("ra") != F.col("rb")) & _fit(percent)).select("a", "b").distinct()
 
 
 def _all_pairs(met: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one shingle in different components."""
-    wide, own = _bands(met, percent, 0, 1)
+    """All pairs of one shingle in different components.
+
+    Nodes whose shingle before is the same one meet there already, so a passage makes a pair once, not once a shingle.
+    """
+    before = F.coalesce(F.lag("token").over(Window.partitionBy("v").orderBy("place")), F.col("v"))  # a node's own rows: its prefix
+    wide, own = _bands(met.withColumn("before", before), percent, 0, 1)
+    wide, own = wide.withColumnRenamed("before", "fb"), own.withColumnRenamed("before", "fa")
     return wide.join(own, ["token", "band"]).filter(
-        ((F.col("moved") == 1) | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & _fit(percent)).select("a", "b").distinct()
+        (F.col("fa") != F.col("fb")) & ((F.col("moved") == 1) | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb"))
+        & _fit(percent)).select("a", "b").distinct()
 
 
 def _fit(percent: int) -> Column:
@@ -337,4 +332,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             .unionByName(labelled.filter(~full).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
 
 
+def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their group (then the smallest text hash), null ids last; once if repeated.
+
+    Texts without words are in no group: all of them stay.
+    """
+    members, root = links(docs, width, percent)
+    who, h = free_name(docs, "kept_id"), free_name(docs, "kept_hash")
+    named = members.withColumn("who", F.coalesce("doc_id", F.lit(np.iinfo(np.int64).max)))
+    first = (named.filter("n > 0").join(root, "v", "left").groupBy(F.coalesce("root", "v")).agg(F.min(F.struct("who", "h")).alias("x"))
+             .select(F.col("x.who").alias(who), F.col("x.h").alias(h)))
+    keyed = docs.withColumn(who, F.coalesce(F.col("doc_id").cast("long"), F.lit(np.iinfo(np.int64).max))).withColumn(h, text_hash())
+    wordless = named.filter("n = 0").select(F.col("who").alias(who), F.col("h").alias(h)).distinct()
+    kept = keyed.join(first, [who, h], "left_semi").dropDuplicates([who, h])
+    return kept.unionByName(keyed.join(wordless, [who, h], "left_semi")).select(*docs.columns)
+
+
 ship(__name__)

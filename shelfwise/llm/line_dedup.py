@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.tables import free_name
 
+SALTS = 16  # parts of a frequent line
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -35,14 +36,21 @@ def _keys(text: Column) -> Column:
     return F.transform(F.filter(_lines(text), _filled), line_key)
 
 
+def _salted(lines: DataFrame, by: str, chosen: DataFrame, how: str) -> DataFrame:
+    """``lines`` joined to the few ``chosen`` lines; a line that stands in very many texts is split by ``by``."""
+    few = chosen.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return lines.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(few, ["line", "salt"], how).drop("salt")
+
+
 def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = 8, band: float = 0.25, lg_k: int = 10) -> DataFrame:
     """(line, sites): hashes of the lines on at least ``min_sites`` distinct sites."""
-    lines = docs.select(F.explode(F.array_distinct(_keys(F.col("text")))).alias("line"), F.col(site).cast("string").alias("site"))
+    lines = docs.select(F.explode(F.array_distinct(_keys(F.col("text")))).alias("line"), F.col(site).cast("string").alias("site"),
+                        F.xxhash64("text").alias("of"))
     spread = lines.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("estimate"))
     spread = spread.filter(F.col("estimate") >= (1 - band) * min_sites)
     clear = F.col("estimate") > (1 + band) * min_sites
     sure = spread.filter(clear).select("line", F.col("estimate").alias("sites"))
-    near = lines.join(spread.filter(~clear).select("line"), "line", "left_semi")
+    near = _salted(lines, "of", spread.filter(~clear).select("line"), "left_semi")
     exact = near.groupBy("line").agg(F.count_distinct("site").alias("sites")).filter(F.col("sites") >= min_sites)
     return sure.unionByName(exact)
 
@@ -55,7 +63,7 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = 8
     marked = docs.select(F.md5(text).alias("t"), _keys(text).alias("lines")).select("t", F.explode("lines").alias("line"))
     bad = boilerplate(docs, site, min_sites, band).select("line")
     # one row per text: its boilerplate hashes; equal texts meet in map-side combined sets
-    losses = (marked.join(bad, "line").groupBy("t").agg(F.collect_set("line").alias("gone"))
+    losses = (_salted(marked, "t", bad, "inner").groupBy("t").agg(F.collect_set("line").alias("gone"))
               .select(F.col("t").alias(key), F.col("gone").alias(gone)))
     joined = docs.withColumn(key, F.md5(text)).join(losses, key, "left")
     lost = lambda line: F.coalesce(F.array_contains(F.col(gone), line_key(line)), F.lit(False)) & _filled(line)

@@ -6,10 +6,14 @@ from collections.abc import Callable
 from pyspark.sql import functions as F
 
 from shelfwise.llm import decontaminate, line_dedup, mixing, quality_rules, url_filter
+from shelfwise.llm.html_extract import extract
 from shelfwise.llm.jaccard_join import near_duplicates
 from shelfwise.llm.substring_dedup import remove_shared_passages
 from shelfwise.llm.suffix_dedup import remove_repeats
 from shelfwise.llm.tables import read
+from shelfwise.llm.token_counts import load_vocabulary, with_token_counts
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"  # public tokenizer file, a parameter of the operator
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +29,12 @@ def op1_suffix_array_dedup(spark, sf_dir):
     return remove_repeats(read(spark, sf_dir, "documents"), length=100).drop("spans")
 
 
+@query
+def op9_token_counts(spark, sf_dir):
+    counted, out = with_token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), load_vocabulary(VOCABULARY))
+    return counted.select("doc_id", f"{out}.*")
+
+
 @query
 def op10_substring_dedup(spark, sf_dir):
     return remove_shared_passages(read(spark, sf_dir, "documents"), length=35).drop("spans")
@@ -52,6 +62,11 @@ def op4_line_dedup(spark, sf_dir):
 ORACLE["op4_line_dedup"] = line_dedup.ORACLE
 
 
+@query
+def op5_html_extraction(spark, sf_dir):
+    return extract(read(spark, sf_dir, "pages"))
+
+
 @query
 def op6_decontamination(spark, sf_dir):
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
