@@ -10,8 +10,7 @@ prefixes, n - ceil(n * percent / 100) + 1 long. Pairs pass the length, positiona
 the sets' hash parts bound the overlap), then once per pair the exact overlap.
 
 A shingle shared by many near copies would give all their pairs. So nodes are first held against one hub per
-shingle and length band; the links found give components, and shingles with several components get a second
-hub. In the end all pairs of one shingle that are still in different components are made and verified. No
+shingle and length band, then nodes of shingles with several components against one hub per min-hash. In the end all pairs of one shingle that are still in different components are made and verified. No
 link between different components is lost, and no pair inside one is needed.
 
 Broadcast: the sketch (``SLOTS`` counters, fixed). Cases: null or empty text has no set and is its own component;
@@ -38,6 +37,7 @@ from shelfwise.llm.tables import free_name, written
 SLOTS = 1 << 20  # counters of the frequency sketch
 BLOCK = 1 << 12
 PARTS = 32  # hash parts of a set whose sizes bound the overlap of two sets
+MINS = 4  # min-hashes of a node; they only choose hubs
 POS = 1 << 24  # n and position of a prefix shingle in one number
 
 
@@ -117,7 +117,7 @@ def frequencies(sketch: DataFrame) -> np.ndarray:
 
 
 def nodes(docs: DataFrame, width: int) -> DataFrame:
-    """(v, z, parts): one packed text per distinct set and how many of its shingles fall in each hash part.
+    """(v, z, parts, mins): one packed text per distinct set, how many of its shingles fall in each hash part, its min-hashes.
 
     Hash-partitioned by v and kept on the executors' disks; a lost part is computed again.
     """
@@ -137,10 +137,17 @@ def nodes(docs: DataFrame, width: int) -> DataFrame:
                 sizes = np.bincount(rows_of(first) * PARTS + (value % PARTS).astype(np.int64), minlength=PARTS * len(ids))
                 sizes = np.minimum(sizes.reshape(-1, PARTS)[keep], 127).astype(np.int8)  # a lower bound stays one
                 parts = pa.ListArray.from_arrays(np.arange(0, sizes.size + 1, PARTS, dtype=np.int32), pa.array(sizes.ravel(), pa.int8()))
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array(z, pa.binary()), parts],
-                                                 ["v", "z", "parts"])
+                filled = np.flatnonzero(np.diff(first))
+                lows = np.zeros((len(keep), MINS), np.uint64)
+                for k in range(MINS if keep else 0):
+                    low = np.minimum.reduceat(mix(value ^ mix(np.array([k + 1], np.uint64))), first[:-1][filled])
+                    lows[:, k] = low[np.searchsorted(filled, keep)]
+                lows = lows.ravel().view(np.int64)
+                mins = pa.ListArray.from_arrays(np.arange(0, len(lows) + 1, MINS, dtype=np.int32), pa.array(lows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array(z, pa.binary()), parts, mins],
+                                                 ["v", "z", "parts", "mins"])
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = docs.select(F.col("text").alias("text")).mapInArrow(run, "v long, z binary, parts array<tinyint>")
+    found = docs.select(F.col("text").alias("text")).mapInArrow(run, "v long, z binary, parts array<tinyint>, mins array<long>")
     return found.repartition(n, "v").dropDuplicates(["v"]).persist(StorageLevel.DISK_ONLY)
 
 
@@ -261,7 +268,7 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
         F.col("hub").alias("a"), F.col("v").alias("b")).distinct()
     met = met.select("token", "v", "place")
     tried = linked = None
-    for round_ in ("hubs of the stream", "other hubs", "all that is open"):
+    for round_ in ("hubs of shingles", "hubs of min-hashes", "all that is open"):
         pairs = written(pairs, "pairs")
         found = written(verified(pairs, all_nodes, width, percent), "links")
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -273,7 +280,7 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
         # what the pairs so far left open: nodes of one shingle in different components
         labelled = met.join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
         labelled = written(_several_components(labelled), "open-meetings").join(all_nodes.select("v", "parts"), "v")
-        pairs = _hub_pairs(labelled, percent) if round_ == "hubs of the stream" else _all_pairs(labelled, percent)
+        pairs = _hub_pairs(labelled, all_nodes) if round_ == "hubs of shingles" else _all_pairs(labelled, percent)
         pairs = pairs.join(tried, (F.least(pairs["a"], pairs["b"]) == tried["a"]) & (F.greatest(pairs["a"], pairs["b"]) == tried["b"]),
                            "left_anti")
     all_nodes.unpersist()
@@ -286,22 +293,21 @@ def _several_components(met: DataFrame) -> DataFrame:
     return met.join(several, "token", "left_semi").select("token", "v", "place", "root")
 
 
-def _bands(met: DataFrame, percent: int, *moves: int) -> tuple[DataFrame, DataFrame]:
-    """The rows moved to neighbouring size bands, and in their own: linked nodes are in the same or in neighbouring bands."""
+def _bands(met: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows in their own and in the next size band, and in their own: linked nodes are in the same or in neighbouring bands."""
     band = F.floor(F.log(F.floor(F.col("place") / POS)) / F.log(F.lit(100.0 / percent))).cast("int")
     names = {"v": "v", "place": "p", "root": "r", "parts": "s"}
     side = lambda x: met.withColumn("band", band).withColumnsRenamed(
         {old: x if old == "v" else new + x for old, new in names.items()})
-    wide = side("b").withColumn("moved", F.explode(F.array(*map(F.lit, moves)))).withColumn("band", F.col("band") + F.col("moved"))
+    wide = side("b").withColumn("moved", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("moved"))
     return wide, side("a")
 
 
-def _hub_pairs(met: DataFrame, percent: int) -> DataFrame:
-    """One other node per shingle and band against all of other components."""
-    wide, own = _bands(met, percent, -1, 0, 1)
-    hubs = own.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("a").alias("by"), "a", "pa", "ra", "sa")).alias("hub"))
-    hubs = hubs.select("token", "band", "hub.a", "hub.pa", "hub.ra", "hub.sa")
-    return wide.join(hubs, ["token", "band"]).filter((F.col("ra") != F.col("rb")) & _fit(percent)).select("a", "b").distinct()
+def _hub_pairs(met: DataFrame, all_nodes: DataFrame) -> DataFrame:
+    """Open nodes against one hub for each of their min-hashes, which similar sets mostly share; a few pairs a node at most."""
+    hashes = met.select("v", "root").distinct().join(all_nodes.select("v", "mins"), "v").select("v", "root", F.posexplode("mins"))
+    hubs = hashes.groupBy("pos", "col").agg(F.min("v").alias("a"), F.min("root").alias("low"), F.max("root").alias("high"))
+    return hashes.join(hubs.filter("low < high"), ["pos", "col"]).filter("v <> a").select("a", F.col("v").alias("b")).distinct()
 
 
 def _all_pairs(met: DataFrame, percent: int) -> DataFrame:
@@ -310,7 +316,7 @@ def _all_pairs(met: DataFrame, percent: int) -> DataFrame:
     Nodes whose shingle before is the same one meet there already, so a passage makes a pair once, not once a shingle.
     """
     before = F.coalesce(F.lag("token").over(Window.partitionBy("v").orderBy("place")), F.col("v"))  # a node's own rows: its prefix
-    wide, own = _bands(met.withColumn("before", before), percent, 0, 1)
+    wide, own = _bands(met.withColumn("before", before), percent)
     wide, own = wide.withColumnRenamed("before", "fb"), own.withColumnRenamed("before", "fa")
     return wide.join(own, ["token", "band"]).filter(
         (F.col("fa") != F.col("fb")) & ((F.col("moved") == 1) | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb"))
