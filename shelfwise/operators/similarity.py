@@ -62,6 +62,8 @@ def _top_candidates(ca, cb, acc_dot, acc_n, n2a, n2b, k: int, same: bool):
             dd, cc = d[r0:r0 + 512], c[r0:r0 + 512]
             with np.errstate(divide="ignore", invalid="ignore"):
                 sim = dd / (s_left[r0:r0 + 512, None] * s_right[None, :])
+            # a column of zeros has no cosine: it is nobody's neighbour and must not disturb the ranking
+            cc = np.where(np.isfinite(sim), cc, 0)
             nano = np.where(cc > 0, np.floor(sim * 1e9), -1.0)
             if nano.shape[1] > k:
                 kth = np.partition(nano, nano.shape[1] - k, axis=1)[:, nano.shape[1] - k]
@@ -157,7 +159,11 @@ def _block_product(key: tuple, pdf: pd.DataFrame, top_k: int | None = None) -> p
     if not same:
         swap = ci > cj
         ci, cj = np.where(swap, cj, ci), np.where(swap, ci, cj)
-    return pd.DataFrame({"i": ci, "j": cj, "dot": dots, "n_common": ns})
+    half = pd.DataFrame({"i": ci, "j": cj, "dot": dots, "n_common": ns})
+    if top_k is None:
+        return half
+    # the caller expects both directions whenever it asks for top_k, whichever path was taken
+    return pd.concat([half, half.rename(columns={"i": "j", "j": "i"})[half.columns]], ignore_index=True)
 
 
 def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, max_block: int = 4096,
@@ -213,7 +219,7 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: s
     exact, so ``sim = dot / (sqrt(n2_i) * sqrt(n2_j))`` is bit-identical in any engine.
     """
     v = F.col(value)
-    norms = entries.groupBy(col).agg(F.sum(v * v).alias("n2"))
+    norms = entries.groupBy(col).agg(F.sum(v * v).alias("n2")).filter("n2 > 0")
     if integer_values:
         norms = norms.withColumn("n2", F.col("n2").cast("long"))
     info: dict = {}

@@ -93,3 +93,34 @@ def test_neighbors_prefilter_matches_brute_force(spark, max_block, target, k):
         cand.setdefault(b, []).append((-nano, a))
     want = sorted((a, b, i + 1) for a, lst in cand.items() for i, (_, b) in enumerate(sorted(lst)[:k]))
     assert got == want
+
+
+def test_zero_norm_item_and_sparse_blocks(spark):
+    import numpy as np
+    from shelfwise.operators.similarity import _block_product, item_neighbors
+    rows = [(1, 1, 0), (1, 2, 4), (1, 3, 5), (2, 2, 3), (2, 3, 2)]
+    df = spark.createDataFrame(rows, "user_id int, book_id int, rating int")
+    got = sorted((r.book_id, r.other_id) for r in item_neighbors(df, k=1).collect())
+    assert got == [(2, 3), (3, 2)]  # book 1 has no cosine and hides no neighbour
+    import pandas as pd
+    import shelfwise.operators.similarity as S
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"r": rng.integers(0, 30, 200), "c": rng.integers(0, 40, 200), "v": 1.0, "blk": 0}).drop_duplicates(["r", "c"])
+    half = _block_product((0, 0, 0), pdf)
+    limit, S._DENSE_LIMIT = S._DENSE_LIMIT, 1
+    try:
+        both = _block_product((0, 0, 0), pdf, top_k=5)
+    finally:
+        S._DENSE_LIMIT = limit
+    assert len(both) == 2 * len(half)
+
+
+def test_metadata_fallback_gives_one_row_per_key(spark):
+    from shelfwise.sources.readers import metadata_with_fallback
+    primary = spark.createDataFrame([(1, "b", "y"), (1, "a", "x"), (1, "a", "z")], "book_id int, title string, authors string")
+    fallback = spark.createDataFrame([(1, "f", "f"), (2, "g", "g"), (2, "g", "h")], "book_id int, title string, authors string")
+    ids = spark.createDataFrame([(1,), (2,), (2,)], "book_id int")
+    rows = lambda mode, p: sorted(tuple(r) for r in metadata_with_fallback(p, fallback, ids, mode=mode).collect())
+    assert rows("per_key", primary) == [(1, "a", "x"), (2, "g", "g")]
+    assert rows("all_or_nothing", primary) == [(1, "a", "x")]
+    assert rows("all_or_nothing", primary.limit(0)) == [(1, "f", "f"), (2, "g", "g")]
