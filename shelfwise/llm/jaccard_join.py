@@ -10,7 +10,7 @@ prefixes, n - ceil(n * percent / 100) + 1 long. Pairs pass the length, positiona
 the sets' hash parts bound the overlap), then once per pair the exact overlap.
 
 A shingle shared by many near copies would give all their pairs. So nodes are first held against one hub per
-shingle and length band, then nodes of shingles with several components against one hub per min-hash. In the end all pairs of one shingle that are still in different components are made and verified. No
+shingle and length band, then nodes of shingles with several components against neighbours with an equal min-hash. In the end all pairs of one shingle that are still in different components are made and verified. No
 link between different components is lost, and no pair inside one is needed.
 
 Broadcast: the sketch (``SLOTS`` counters, fixed). Cases: null or empty text has no set and is its own component;
@@ -257,7 +257,7 @@ def _overlap_links(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """((doc_id, h, v, n) of every row, (v, root) of the nodes that are linked to a smaller one).
 
-    Two rounds of hubs bring most near copies together; then all open pairs are verified.
+    Two bounded rounds bring near copies together; then all open pairs are verified.
     """
     spark = docs.sparkSession
     members, sketch = members_and_sketch(docs, width)
@@ -268,7 +268,7 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
         F.col("hub").alias("a"), F.col("v").alias("b")).distinct()
     met = met.select("token", "v", "place")
     tried = linked = None
-    for round_ in ("hubs of shingles", "hubs of min-hashes", "all that is open"):
+    for round_ in ("hubs of shingles", "neighbours by min-hash", "all that is open"):
         pairs = written(pairs, "pairs")
         found = written(verified(pairs, all_nodes, width, percent), "links")
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -303,11 +303,17 @@ def _bands(met: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return wide, side("a")
 
 
-def _hub_pairs(met: DataFrame, all_nodes: DataFrame) -> DataFrame:
-    """Open nodes against one hub for each of their min-hashes, which similar sets mostly share; a few pairs a node at most."""
-    hashes = met.select("v", "root").distinct().join(all_nodes.select("v", "mins"), "v").select("v", "root", F.posexplode("mins"))
-    hubs = hashes.groupBy("pos", "col").agg(F.min("v").alias("a"), F.min("root").alias("low"), F.max("root").alias("high"))
-    return hashes.join(hubs.filter("low < high"), ["pos", "col"]).filter("v <> a").select("a", F.col("v").alias("b")).distinct()
+def _hub_pairs(met: DataFrame, all_nodes: DataFrame, near: int = 3) -> DataFrame:
+    """Open nodes against those before them among the nodes with an equal min-hash, ordered by the next min-hashes.
+
+    Similar sets share most min-hashes and so stand side by side; ``near`` pairs a node and min-hash at most.
+    """
+    hashes = met.select("v", "root").distinct().join(all_nodes.select("v", "mins"), "v").select("v", "root", "mins", F.posexplode("mins"))
+    following = [F.element_at("mins", ((F.col("pos") + k) % MINS + 1).cast("int")) for k in range(1, MINS)]
+    beside = Window.partitionBy("pos", "col").orderBy(*following, "v")
+    before = F.array(*(F.lag(F.struct("v", "root"), k).over(beside) for k in range(1, near + 1)))
+    pairs = hashes.select("v", "root", before.alias("before")).select("v", "root", F.explode(F.array_compact("before")).alias("x"))
+    return pairs.filter(F.col("x.root") != F.col("root")).select(F.col("x.v").alias("a"), F.col("v").alias("b")).distinct()
 
 
 def _all_pairs(met: DataFrame, percent: int) -> DataFrame:
