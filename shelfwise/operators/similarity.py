@@ -1,241 +1,93 @@
-"""All-pairs similarity (J12, R02, R03, R07-R09) as a blocked sparse Gram product.
+"""All-pairs similarity (J12, R02, R03, R07-R09): a sparse Gram product as a degree-split equi-join.
 
-The product G[i, j] = sum_r v[r, i] * v[r, j] is never formed by a self-join on the row key
-(that would emit every pair inside a row group; one row holding a third of the data would
-put quadratic work in one task). Instead:
+The product G[i, j] = sum_r v[r, i] * v[r, j] joins the entries with themselves on the row. A row with more than
+``sub_block`` entries is dealt into ``ceil(degree / sub_block)`` sub-blocks by column hash and joined sub-block pair by
+sub-block pair, on the key (row, lo, hi). So:
 
-* columns are hashed into ``nb = ceil(n_cols / max_block)`` blocks (more when that gives too few
-  groups for the cluster's parallelism);
-* every entry is sent to the ``nb`` unordered block pairs that contain its block, and rows
-  are hashed into ``rc`` chunks sized from the entry count;
-* each (block pair, row chunk) group is a bounded unit: about ``max_block`` columns per side
-  (dense accumulator about max_block^2 cells, ~200 MB at 4096), about ``target_group_entries``
-  entries. A row holding a third of all entries contributes at most one block per side to a group. Inside it numpy accumulates the block product into a
-  dense accumulator (``bincount`` over linear indexes), so per-row pairs are summed in memory
-  and only block-level partial sums leave the task;
-* partial sums from different row chunks are combined by a (map-side combined) ``groupBy``.
+* no join key holds more than about ``sub_block`` entries a side, however hot the row; a row of d entries is copied
+  d / sub_block times, and the pairs it makes are spread over that many keys squared;
+* the pairs are summed by ``groupBy(i, j)`` with map-side combine; a column that is in a third of all rows
+  is many (i, j) keys, never one group;
+* the work follows the real pairs (the sum of squared degrees), not the number of columns squared, and there is one plan
+  at every size and for every parameter: no driver action, no Python, no size switch.
+
+A row of d columns has d * (d - 1) / 2 real pairs; they are all made and none is dropped.
 """
 from __future__ import annotations
 
-import functools
-import math
-import sys
-import warnings
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions.exprs import nano
 from shelfwise.operators.ranking import top_k_per_group
 
-# The block kernel runs in Python workers, which need not have this package on their path:
-# ship this module's functions by value with the task instead of by import reference.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_PAIR_BATCH = 2_000_000      # pair products materialised at once inside a task
-_DENSE_LIMIT = 32_000_000    # largest dense accumulator (cells) before the sparse path
-
+SUB_BLOCK = 512  # entries of one row that meet under one join key
 
-def _empty(dtype) -> pd.DataFrame:
-    return pd.DataFrame({"i": pd.Series([], dtype=dtype), "j": pd.Series([], dtype=dtype),
-                         "dot": pd.Series([], dtype="float64"), "n_common": pd.Series([], dtype="int64")})
 
+def _dealt(entries: DataFrame, sub_block: int) -> DataFrame:
+    """The entries with their sub-block ``b`` and the number of sub-blocks ``nb`` of their row (0 and 1 for most)."""
+    # only rows above the bound are counted out: at most n / sub_block of them
+    heavy = entries.groupBy("r").agg(F.count(F.lit(1)).alias("degree")).filter(F.col("degree") > sub_block).select(
+        "r", F.ceil(F.col("degree") / F.lit(sub_block)).cast("int").alias("nb"))
+    counted = entries.join(heavy, "r", "left").withColumn("nb", F.coalesce("nb", F.lit(1)))
+    return counted.withColumn("b", F.pmod(F.xxhash64("c"), F.col("nb")).cast("int"))
 
-def _top_candidates(ca, cb, acc_dot, acc_n, n2a, n2b, k: int, same: bool):
-    """Oriented (left, right) candidates holding every left column's top-k by cosine in this block
-    pair (ties and a one-unit margin kept). Works in row slabs to bound memory."""
-    na, nb = len(ca), len(cb)
-    dot = acc_dot.reshape(na, nb)
-    cnt = acc_n.reshape(na, nb)
-    if same:  # only i < j was accumulated: complete the symmetric matrix
-        dot = dot + dot.T
-        cnt = cnt + cnt.T
-    sa, sb = np.sqrt(n2a), np.sqrt(n2b)
-    out = []
 
-    def side(d, c, s_left, s_right, left_ids, right_ids):
-        for r0 in range(0, d.shape[0], 512):
-            dd, cc = d[r0:r0 + 512], c[r0:r0 + 512]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sim = dd / (s_left[r0:r0 + 512, None] * s_right[None, :])
-            # a column of zeros has no cosine: it is nobody's neighbour and must not disturb the ranking
-            cc = np.where(np.isfinite(sim), cc, 0)
-            nano = np.where(cc > 0, np.floor(sim * 1e9), -1.0)
-            if nano.shape[1] > k:
-                kth = np.partition(nano, nano.shape[1] - k, axis=1)[:, nano.shape[1] - k]
-            else:
-                kth = np.full(nano.shape[0], 0.0)
-            keep = (cc > 0) & (nano >= (kth - 1)[:, None])
-            ri, rj = np.nonzero(keep)
-            out.append(pd.DataFrame({"i": left_ids[ri + r0], "j": right_ids[rj], "dot": dd[ri, rj],
-                                     "n_common": cc[ri, rj].astype("int64")}))
+def _pairs(entries: DataFrame, sub_block: int) -> DataFrame:
+    """(i, j, x, y, ni, nj) per row and column pair i < j; ``entries`` is (r, c, v, norm)."""
+    dealt = _dealt(entries, sub_block)
+    left = dealt.withColumn("hi", F.explode(F.sequence(F.col("b"), F.col("nb") - 1))).select(
+        "r", F.col("b").alias("lo"), "hi", F.col("c").alias("c1"), F.col("v").alias("v1"), F.col("norm").alias("n1"))
+    right = dealt.withColumn("lo", F.explode(F.sequence(F.lit(0), F.col("b")))).select(
+        "r", "lo", F.col("b").alias("hi"), F.col("c").alias("c2"), F.col("v").alias("v2"), F.col("norm").alias("n2"))
+    met = left.join(right, ["r", "lo", "hi"]).filter((F.col("lo") < F.col("hi")) | (F.col("c1") < F.col("c2")))
+    first = F.col("c1") < F.col("c2")
+    return met.select(F.least("c1", "c2").alias("i"), F.greatest("c1", "c2").alias("j"), F.col("v1").alias("x"), F.col("v2").alias("y"),
+                      F.when(first, F.col("n1")).otherwise(F.col("n2")).alias("ni"),
+                      F.when(first, F.col("n2")).otherwise(F.col("n1")).alias("nj"))
 
-    side(dot, cnt, sa, sb, ca, cb)
-    if not same:
-        side(dot.T, cnt.T, sb, sa, cb, ca)
-    return pd.concat(out, ignore_index=True) if out else None
 
+def _product(entries: DataFrame, wide: bool) -> Column:
+    """x * y for the sum: exact (long, or decimal where sums of longs could overflow) for integers, else double."""
+    if wide:
+        return (F.col("x").cast("decimal(18,0)") * F.col("y").cast("decimal(18,0)")).cast("decimal(28,0)")
+    kind = "long" if isinstance(entries.schema["v"].dataType, T.IntegralType) else "double"
+    return F.col("x").cast(kind) * F.col("y").cast(kind)
 
-def _block_product(key: tuple, pdf: pd.DataFrame, top_k: int | None = None) -> pd.DataFrame:
-    lo, hi = int(key[0]), int(key[1])
-    same = lo == hi
-    a = pdf[pdf["blk"] == lo]
-    b = a if same else pdf[pdf["blk"] == hi]
-    if a.empty or b.empty:
-        return _empty(pdf["c"].dtype)
-    ca, ia = np.unique(a["c"].to_numpy(), return_inverse=True)
-    cb, ib = (ca, ia) if same else np.unique(b["c"].to_numpy(), return_inverse=True)
-    rows = np.concatenate([a["r"].to_numpy(), b["r"].to_numpy()]) if not same else a["r"].to_numpy()
-    _, rcode = np.unique(rows, return_inverse=True)
-    ra = rcode[: len(a)]
-    rb = ra if same else rcode[len(a):]
-    va = a["v"].to_numpy(dtype="float64")
-    vb = va if same else b["v"].to_numpy(dtype="float64")
 
-    order = np.argsort(rb, kind="stable")
-    ib_s, vb_s = ib[order], vb[order]
-    nrows = int(rcode.max()) + 1
-    cnt_b = np.bincount(rb, minlength=nrows)
-    start_b = np.cumsum(cnt_b) - cnt_b
-    per_a = cnt_b[ra]
-    cum = np.cumsum(per_a)
-    ncell = len(ca) * len(cb)
-    dense = ncell <= _DENSE_LIMIT
-    prefilter = top_k is not None and dense
-    if dense:
-        acc_dot = np.zeros(ncell, dtype="float64")
-        acc_n = np.zeros(ncell, dtype="int32")
-    else:
-        parts = []
-    s = 0
-    na = len(ia)
-    while s < na:
-        base = cum[s - 1] if s > 0 else 0
-        e = int(np.searchsorted(cum, base + _PAIR_BATCH, side="right"))
-        e = max(e, s + 1)
-        counts = per_a[s:e]
-        total = int(counts.sum())
-        if total:
-            rep = np.repeat(np.arange(s, e), counts)
-            first = np.cumsum(counts) - counts
-            offs = np.arange(total) - np.repeat(first, counts)
-            bidx = start_b[ra[rep]] + offs
-            li, lj = ia[rep], ib_s[bidx]
-            prod = va[rep] * vb_s[bidx]
-            if same:
-                keep = li < lj
-                li, lj, prod = li[keep], lj[keep], prod[keep]
-            lin = li.astype("int64") * len(cb) + lj
-            if dense:
-                acc_dot += np.bincount(lin, weights=prod, minlength=ncell)
-                acc_n += np.bincount(lin, minlength=ncell).astype("int32")
-            else:
-                u, inv = np.unique(lin, return_inverse=True)
-                parts.append((u, np.bincount(inv, weights=prod), np.bincount(inv)))
-        s = e
-    if prefilter:
-        n2a = np.bincount(ia, weights=va * va, minlength=len(ca))
-        n2b = n2a if same else np.bincount(ib, weights=vb * vb, minlength=len(cb))
-        res = _top_candidates(ca, cb, acc_dot, acc_n, n2a, n2b, top_k, same)
-        return res if res is not None else _empty(pdf["c"].dtype)
-    if dense:
-        nz = np.flatnonzero(acc_n)
-        dots, ns = acc_dot[nz], acc_n[nz].astype("int64")
-    else:
-        if parts:
-            allu = np.concatenate([p[0] for p in parts])
-            u, inv = np.unique(allu, return_inverse=True)
-            dots = np.bincount(inv, weights=np.concatenate([p[1] for p in parts]))
-            ns = np.bincount(inv, weights=np.concatenate([p[2] for p in parts])).astype("int64")
-            nz = u
-        else:
-            nz = np.zeros(0, dtype="int64"); dots = np.zeros(0); ns = np.zeros(0, dtype="int64")
-    ci = ca[nz // len(cb)]
-    cj = cb[nz % len(cb)]
-    if not same:
-        swap = ci > cj
-        ci, cj = np.where(swap, cj, ci), np.where(swap, ci, cj)
-    half = pd.DataFrame({"i": ci, "j": cj, "dot": dots, "n_common": ns})
-    if top_k is None:
-        return half
-    # the caller expects both directions whenever it asks for top_k, whichever path was taken
-    return pd.concat([half, half.rename(columns={"i": "j", "j": "i"})[half.columns]], ignore_index=True)
+def _summed(entries: DataFrame, sub_block: int, wide: bool) -> DataFrame:
+    # the norms go with the pair as keys, so the pairs need no further join
+    return _pairs(entries, sub_block).groupBy("i", "j", "ni", "nj").agg(
+        F.sum(_product(entries, wide)).alias("dot"), F.count(F.lit(1)).alias("n_common"))
 
 
-def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, max_block: int = 4096,
-                 target_group_entries: int = 2_000_000, min_groups: int | None = None,
-                 top_k: int | None = None, _info: dict | None = None) -> DataFrame:
+def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, sub_block: int = SUB_BLOCK) -> DataFrame:
     """Sparse Gram product over a long table ``(row, col, value)`` with unique (row, col).
 
-    Returns ``(i, j, dot, n_common)`` for every column pair i < j sharing at least one row.
-    With ``top_k`` and groups holding complete columns (a single row chunk), the output is
-    instead *oriented* (i -> j, both directions) and pre-filtered per block pair to the top_k
-    cosine candidates of every i (ties kept); ``_info['oriented']`` tells which form was built.
+    Returns ``(i, j, dot, n_common)`` for every column pair i < j sharing at least one row. Integer values give
+    an exact long ``dot``, others a double. Null rows and columns have no pairs.
     """
-    spark = entries.sparkSession
-    ctype = entries.schema[col].dataType
-    e = entries.select(F.col(row).alias("r"), F.col(col).alias("c"), F.col(value).cast("double").alias("v"))
-    stats = e.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("c").alias("nc")).first()
-    n, nc = int(stats["n"] or 0), int(stats["nc"] or 0)
-    out_schema = T.StructType([T.StructField("i", ctype), T.StructField("j", ctype),
-                               T.StructField("dot", T.DoubleType()), T.StructField("n_common", T.LongType())])
-    if n == 0:
-        return spark.createDataFrame([], out_schema)
-    if min_groups is None:
-        min_groups = 2 * spark.sparkContext.defaultParallelism
-    nb = max(1, math.ceil(nc / max_block))
-    while nb * (nb + 1) // 2 < min_groups and nb < max(1, nc // 64):
-        nb += 1
-    rc = max(1, math.ceil(2 * n / (nb * target_group_entries)))
-    rep = (e.withColumn("blk", F.pmod(F.xxhash64("c"), F.lit(nb)).cast("int"))
-            .withColumn("chunk", F.pmod(F.xxhash64("r", F.lit("chunk")), F.lit(rc)).cast("int"))
-            .withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-            .withColumn("lo", F.least("blk", "t"))
-            .withColumn("hi", F.greatest("blk", "t"))
-            .drop("t"))
-    oriented = top_k is not None and rc == 1
-    if _info is not None:
-        _info["oriented"] = oriented
-    kernel = functools.partial(_block_product, top_k=top_k if oriented else None)
-    with warnings.catch_warnings():  # a partial carries no type hints; the eval type is explicit anyway
-        warnings.simplefilter("ignore", UserWarning)
-        partial = rep.groupBy("lo", "hi", "chunk").applyInPandas(kernel, schema=out_schema)
-    if rc == 1:
-        # every pair is produced by exactly one (lo, hi) group: nothing to combine
-        return partial
-    return partial.groupBy("i", "j").agg(F.sum("dot").alias("dot"), F.sum("n_common").alias("n_common"))
+    e = entries.select(F.col(row).alias("r"), F.col(col).alias("c"), F.col(value).alias("v"), F.lit(1.0).alias("norm"))
+    return _summed(e.filter("r is not null and c is not null"), sub_block, False).select("i", "j", "dot", "n_common")
 
 
-def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: str, out_right: str,
-                 integer_values: bool = True, top_k: int | None = None, **kw) -> DataFrame:
+def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: str, out_right: str, *,
+                 sub_block: int = SUB_BLOCK, wide: bool = False) -> DataFrame:
     """Cosine for every co-occurring pair, in both directions.
 
-    Columns: ``out_left, out_right, dot, sim, n_common, nano``. With ``top_k`` the rows may be
-    limited to candidates that contain every ``out_left``'s top_k (exact ranking is done by the caller). Integer inputs keep ``dot`` and squared norms
-    exact, so ``sim = dot / (sqrt(n2_i) * sqrt(n2_j))`` is bit-identical in any engine.
+    Columns: ``out_left, out_right, dot, sim, n_common, nano``. Integer inputs keep ``dot`` and squared norms
+    exact, so ``sim = dot / (sqrt(n2_i) * sqrt(n2_j))`` is bit-identical in any engine; ``wide`` sums them as
+    decimals, for values whose squares could overflow a long. A column of zeros has no cosine and no partner.
     """
-    v = F.col(value)
-    norms = entries.groupBy(col).agg(F.sum(v * v).alias("n2")).filter("n2 > 0")
-    if integer_values:
-        norms = norms.withColumn("n2", F.col("n2").cast("long"))
-    info: dict = {}
-    pairs = cooccurrence(entries, row, col, value, top_k=top_k, _info=info, **kw)
-    dot = F.col("dot").cast("long") if integer_values else F.col("dot")
-    p = pairs.select(F.col("i"), F.col("j"), dot.alias("dot"), F.col("n_common"))
-    ni = norms.select(F.col(col).alias("i"), F.col("n2").alias("n2_i"))
-    nj = norms.select(F.col(col).alias("j"), F.col("n2").alias("n2_j"))
-    s = (p.join(ni, "i").join(nj, "j")
-         .withColumn("sim", F.col("dot") / (F.sqrt("n2_i") * F.sqrt("n2_j")))
-         .select("i", "j", "dot", "sim", "n_common"))
-    if info.get("oriented"):
-        out = s.select(F.col("i").alias(out_left), F.col("j").alias(out_right), "dot", "sim", "n_common")
-    else:
-        out = mirror(s, out_left, out_right, ["dot", "sim", "n_common"])
-    return out.withColumn("nano", nano("sim"))
+    e = entries.select(F.col(row).alias("r"), F.col(col).alias("c"), F.col(value).alias("v")).filter(
+        "r is not null and c is not null")
+    own = _product(e, wide)
+    norms = (e.select("c", F.col("v").alias("x"), F.col("v").alias("y")).groupBy("c").agg(F.sum(own).alias("n2"))
+             .filter("n2 > 0").select("c", F.sqrt(F.col("n2").cast("double")).alias("norm")))
+    s = _summed(e.join(norms, "c"), sub_block, wide).withColumn(
+        "sim", F.col("dot").cast("double") / (F.col("ni") * F.col("nj")))
+    return mirror(s, out_left, out_right, ["dot", "sim", "n_common"]).withColumn("nano", nano("sim"))
 
 
 def mirror(pairs: DataFrame, out_left: str, out_right: str, carry) -> DataFrame:
@@ -251,12 +103,12 @@ def item_neighbors(interactions: DataFrame, k: int = 20, user_col: str = "user_i
 
     Columns: item_col, other_col, dot, sim, nano, rank (1-based). Ties: nano desc, other id asc.
     """
-    sims = cosine_pairs(interactions, user_col, item_col, rating_col, item_col, other_col, top_k=k, **kw)
+    sims = cosine_pairs(interactions, user_col, item_col, rating_col, item_col, other_col, **kw)
     return top_k_per_group(sims, [item_col], [F.col("nano").desc(), F.col(other_col)], k)
 
 
 def user_neighbors(interactions: DataFrame, k: int, user_col: str = "user_id", item_col: str = "book_id",
                    rating_col: str = "rating", other_col: str = "other_user_id", **kw) -> DataFrame:
     """User-user cosine neighbours (the same product with roles swapped)."""
-    sims = cosine_pairs(interactions, item_col, user_col, rating_col, user_col, other_col, top_k=k, **kw)
+    sims = cosine_pairs(interactions, item_col, user_col, rating_col, user_col, other_col, **kw)
     return top_k_per_group(sims, [user_col], [F.col("nano").desc(), F.col(other_col)], k)

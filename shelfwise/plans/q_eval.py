@@ -123,10 +123,13 @@ def title_ratings(spark, d):
 
 @query("r09_title_similarity", f"""WITH {TITLE_SQL},
 {cosine_sql('tr', 'user_id', 'title', 'title', 'other_title')}
-SELECT title, other_title, round(sim, 9) AS sim FROM sims""")
+SELECT title, other_title, round(sim, 9) AS sim, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY title ORDER BY nano DESC, other_title) AS INTEGER) AS rank
+  FROM sims) t WHERE rank <= 10""")
 def r09_title_similarity(spark, d):
-    sims = S.cosine_pairs(title_ratings(spark, d), "user_id", "title", "rating", "title", "other_title")
-    return sims.select("title", "other_title", F.round("sim", 9).alias("sim"))
+    sims = S.cosine_pairs(title_ratings(spark, d), "user_id", "title", "rating", "title", "other_title", wide=True)
+    top = top_k_per_group(sims, ["title"], [F.col("nano").desc(), F.col("other_title")], 10)
+    return top.select("title", "other_title", F.round("sim", 9).alias("sim"), "rank")
 
 
 @query("r10_predict_user", f"""WITH {INTER_SQL},

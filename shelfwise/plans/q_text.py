@@ -90,17 +90,19 @@ def w05_top_tokens(spark, d):
 
 
 @query("r02_content_similarity", f"""WITH {BOOK_TEXT_SQL}, {tfidf_sql('bt', 'book_id')},
-pairs AS (SELECT a.book_id, b.book_id AS other_id, SUM(a.weight * b.weight) AS sim
-          FROM tfidf a JOIN tfidf b ON a.term = b.term AND a.book_id <> b.book_id GROUP BY 1, 2)
-SELECT book_id, other_id, round(sim, 6) AS sim, rank FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY book_id ORDER BY round(sim, 9) DESC, other_id) AS INTEGER) AS rank
+units AS (SELECT book_id, term, CAST(round(weight * 10000) AS BIGINT) AS w FROM tfidf),
+pairs AS (SELECT a.book_id, b.book_id AS other_id, CAST(SUM(a.w * b.w) AS BIGINT) AS dot
+          FROM units a JOIN units b ON a.term = b.term AND a.book_id <> b.book_id GROUP BY 1, 2)
+SELECT book_id, other_id, dot / 100000000.0 AS sim, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY book_id ORDER BY dot DESC, other_id) AS INTEGER) AS rank
   FROM pairs) t WHERE rank <= 10""")
 def r02_content_similarity(spark, d):
     w, _ = TX.tfidf(book_docs(spark, d), "book_id", "text", MIN_DF, MAX_DF)
-    pairs = S.cooccurrence(w, "term", "book_id", "weight")
-    both = S.mirror(pairs.withColumnRenamed("dot", "sim"), "book_id", "other_id", ["sim"])
-    top = top_k_per_group(both, ["book_id"], [F.round("sim", 9).desc(), F.col("other_id")], 10)
-    return top.select("book_id", "other_id", F.round("sim", 6).alias("sim"), "rank")
+    # weights in ten-thousandths: sums are exact in any order and, for unit vectors, at most about 1e8
+    units = w.withColumn("w", F.round(F.col("weight") * 10_000).cast("long"))
+    both = S.mirror(S.cooccurrence(units, "term", "book_id", "w"), "book_id", "other_id", ["dot"])
+    top = top_k_per_group(both, ["book_id"], [F.col("dot").desc(), F.col("other_id")], 10)
+    return top.select("book_id", "other_id", (F.col("dot") / F.lit(100_000_000.0)).alias("sim"), "rank")
 
 
 AUTH_SQL = f"""{BOOKS_SQL},

@@ -20,8 +20,8 @@ def brute(entries):
     return out
 
 
-@pytest.mark.parametrize("max_block,target", [(4096, 2_000_000), (3, 2_000_000), (4, 50)])
-def test_cooccurrence_matches_brute_force_with_hot_row(spark, max_block, target):
+@pytest.mark.parametrize("sub_block", [512, 7, 1])
+def test_cooccurrence_matches_brute_force_with_hot_row(spark, sub_block):
     rnd = random.Random(7)
     entries = set()
     for r in range(40):
@@ -33,7 +33,7 @@ def test_cooccurrence_matches_brute_force_with_hot_row(spark, max_block, target)
     data = [(r, c, float(rnd.randint(1, 5))) for r, c in sorted(entries)]
     df = spark.createDataFrame(data, "r long, c long, v double")
     got = {(x.i, x.j): (x.dot, x.n_common) for x in
-           S.cooccurrence(df, "r", "c", "v", max_block=max_block, target_group_entries=target).collect()}
+           S.cooccurrence(df, "r", "c", "v", sub_block=sub_block).collect()}
     assert got == brute(data)
 
 
@@ -66,9 +66,9 @@ def test_dense_cosine(spark):
     assert got[0] == pytest.approx(1 / math.sqrt(2)) and got[1] == 0.0
 
 
-@pytest.mark.parametrize("max_block,target", [(4096, 2_000_000), (5, 2_000_000), (6, 40)])
+@pytest.mark.parametrize("sub_block", [512, 5, 2])
 @pytest.mark.parametrize("k", [1, 3])
-def test_neighbors_prefilter_matches_brute_force(spark, max_block, target, k):
+def test_neighbors_match_brute_force_with_hot_row_and_column(spark, sub_block, k):
     rnd = random.Random(11)
     ents = set()
     for r in range(60):
@@ -76,10 +76,12 @@ def test_neighbors_prefilter_matches_brute_force(spark, max_block, target, k):
             ents.add((r, c))
     for c in range(0, 25, 2):
         ents.add((500, c))  # hot row
+    for r in range(0, 60, 2):
+        ents.add((r, 3))  # hot column
     data = [(r, c, rnd.randint(1, 3)) for r, c in sorted(ents)]
     df = spark.createDataFrame(data, "user_id long, book_id long, rating int")
     got = sorted((x.book_id, x.other_id, x.rank) for x in
-                 S.item_neighbors(df, k=k, max_block=max_block, target_group_entries=target).collect())
+                 S.item_neighbors(df, k=k, sub_block=sub_block).collect())
     # brute force: exact integer dot / norms, rank by floor(sim*1e9) desc then id
     co = brute([(r, c, float(v)) for r, c, v in data])
     n2 = {}
@@ -95,24 +97,30 @@ def test_neighbors_prefilter_matches_brute_force(spark, max_block, target, k):
     assert got == want
 
 
-def test_zero_norm_item_and_sparse_blocks(spark):
-    import numpy as np
-    from shelfwise.operators.similarity import _block_product, item_neighbors
-    rows = [(1, 1, 0), (1, 2, 4), (1, 3, 5), (2, 2, 3), (2, 3, 2)]
+def test_zero_norm_item_hides_no_neighbour(spark):
+    rows = [(1, 1, 0), (1, 2, 4), (1, 3, 5), (2, 2, 3), (2, 3, 2), (None, 2, 1), (3, None, 1)]
     df = spark.createDataFrame(rows, "user_id int, book_id int, rating int")
-    got = sorted((r.book_id, r.other_id) for r in item_neighbors(df, k=1).collect())
-    assert got == [(2, 3), (3, 2)]  # book 1 has no cosine and hides no neighbour
-    import pandas as pd
-    import shelfwise.operators.similarity as S
-    rng = np.random.default_rng(0)
-    pdf = pd.DataFrame({"r": rng.integers(0, 30, 200), "c": rng.integers(0, 40, 200), "v": 1.0, "blk": 0}).drop_duplicates(["r", "c"])
-    half = _block_product((0, 0, 0), pdf)
-    limit, S._DENSE_LIMIT = S._DENSE_LIMIT, 1
-    try:
-        both = _block_product((0, 0, 0), pdf, top_k=5)
-    finally:
-        S._DENSE_LIMIT = limit
-    assert len(both) == 2 * len(half)
+    got = sorted((r.book_id, r.other_id) for r in S.item_neighbors(df, k=1).collect())
+    assert got == [(2, 3), (3, 2)]  # book 1 has no cosine
+
+
+def test_neighbor_plan_is_native_and_splits_hot_rows(spark):
+    df = spark.range(5000).select((F.col("id") % 3).alias("user_id"), F.col("id").alias("book_id"), F.lit(1).alias("rating"))
+    plan = S.item_neighbors(df, k=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    e = df.select(F.col("user_id").alias("r"), F.col("book_id").alias("c"))
+    most = S._dealt(e, 100).groupBy("r", "b").count().agg(F.max("count")).first()[0]
+    assert most < 200  # a row of 1,667 entries meets in pieces of about 100
+
+
+def test_wide_sums_do_not_overflow(spark):
+    # 20,000 raters, values in millionths: their squares' sum is above a long at 370,000 five-star raters; scaled here
+    df = spark.range(20_000).select(F.col("id").alias("u"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("t"),
+                                    F.lit(500_000_000).cast("long").alias("v"))
+    got = S.cosine_pairs(df, "u", "t", "v", "l", "r", wide=True).collect()
+    assert sorted((x.l, x.r) for x in got) == [("a", "b"), ("b", "a")]
+    assert all(int(x.dot) == 20_000 * 500_000_000 ** 2 and x.sim == pytest.approx(1.0) for x in got)
 
 
 def test_metadata_fallback_gives_one_row_per_key(spark):
