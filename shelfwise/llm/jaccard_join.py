@@ -6,11 +6,11 @@ documents link when 100 * |intersection| >= ``percent`` * |union|. Shingles are
 
 Method: equal sets are one node with many members. Shingles are ordered rare-first by a frequency sketch of fixed size (any
 order that all documents share is right; rare-first keeps the groups small). Nodes meet on the shingles of their
-prefixes, n - ceil(n * percent / 100) + 1 long. Pairs pass the length, positional and suffix filters there (the sizes of
-the sets' hash parts bound the overlap), then once per pair the exact overlap.
+prefixes, n - ceil(n * percent / 100) + 1 long. Pairs pass the length, positional and suffix filters there (a bitmap of
+each set, whose bits tell whether an odd number of shingles fell there, bounds the difference), then once per pair the exact overlap.
 
 A shingle shared by many near copies would give all their pairs. So nodes are first held against one hub per
-shingle and length band, then nodes of shingles with several components against neighbours with an equal min-hash. In the end all pairs of one shingle that are still in different components are made and verified. No
+shingle and size band, then nodes of shingles with several components against neighbours with an equal min-hash. In the end all pairs of one shingle that are still in different components are made and verified. No
 link between different components is lost, and no pair inside one is needed.
 
 Broadcast: the sketch (``SLOTS`` counters, fixed). Cases: null or empty text has no set and is its own component;
@@ -36,7 +36,7 @@ from shelfwise.llm.tables import free_name, written
 
 SLOTS = 1 << 20  # counters of the frequency sketch
 BLOCK = 1 << 12
-PARTS = 32  # hash parts of a set whose sizes bound the overlap of two sets
+LONGS = 16  # 64-bit numbers in a set's bitmap; bits that differ bound the difference of two sets from below
 MINS = 4  # min-hashes of a node; they only choose hubs
 POS = 1 << 24  # n and position of a prefix shingle in one number
 
@@ -69,6 +69,13 @@ def node_ids(value: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.where(np.diff(first) > 0, out, np.uint64(0)).view(np.int64)
 
 
+def bitmaps(value: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One row of ``LONGS`` numbers per set: each bit is set if an odd number of the set's shingles fell on it."""
+    size = 64 * LONGS
+    odd = np.bincount(rows_of(first) * size + (value % np.uint64(size)).astype(np.int64), minlength=size * (len(first) - 1)) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, size), axis=1).view(np.int64)
+
+
 def slot_of(value: np.ndarray) -> np.ndarray:
     return (value >> np.uint64(44)).astype(np.int64)
 
@@ -117,7 +124,7 @@ def frequencies(sketch: DataFrame) -> np.ndarray:
 
 
 def nodes(docs: DataFrame, width: int) -> DataFrame:
-    """(v, z, parts, mins): one packed text per distinct set, how many of its shingles fall in each hash part, its min-hashes.
+    """(v, z, bits, mins): one packed text per distinct set, the bitmap of its shingles, its min-hashes.
 
     Hash-partitioned by v and kept on the executors' disks; a lost part is computed again.
     """
@@ -134,9 +141,8 @@ def nodes(docs: DataFrame, width: int) -> DataFrame:
                         seen.add(v)
                         keep.append(i)
                 z = [press.compress(data[off[a + i]:off[a + i + 1]].tobytes()) for i in keep]
-                sizes = np.bincount(rows_of(first) * PARTS + (value % PARTS).astype(np.int64), minlength=PARTS * len(ids))
-                sizes = np.minimum(sizes.reshape(-1, PARTS)[keep], 127).astype(np.int8)  # a lower bound stays one
-                parts = pa.ListArray.from_arrays(np.arange(0, sizes.size + 1, PARTS, dtype=np.int32), pa.array(sizes.ravel(), pa.int8()))
+                bitmap = pa.ListArray.from_arrays(np.arange(0, len(keep) * LONGS + 1, LONGS, dtype=np.int32),
+                                                  pa.array(bitmaps(value, first)[keep].ravel(), pa.int64()))
                 filled = np.flatnonzero(np.diff(first))
                 lows = np.zeros((len(keep), MINS), np.uint64)
                 for k in range(MINS if keep else 0):
@@ -144,10 +150,10 @@ def nodes(docs: DataFrame, width: int) -> DataFrame:
                     lows[:, k] = low[np.searchsorted(filled, keep)]
                 lows = lows.ravel().view(np.int64)
                 mins = pa.ListArray.from_arrays(np.arange(0, len(lows) + 1, MINS, dtype=np.int32), pa.array(lows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array(z, pa.binary()), parts, mins],
-                                                 ["v", "z", "parts", "mins"])
+                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array(z, pa.binary()), bitmap, mins],
+                                                 ["v", "z", "bits", "mins"])
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = docs.select(F.col("text").alias("text")).mapInArrow(run, "v long, z binary, parts array<tinyint>, mins array<long>")
+    found = docs.select(F.col("text").alias("text")).mapInArrow(run, "v long, z binary, bits array<long>, mins array<long>")
     return found.repartition(n, "v").dropDuplicates(["v"]).persist(StorageLevel.DISK_ONLY)
 
 
@@ -178,31 +184,37 @@ def prefixes(all_nodes: DataFrame, order, width: int, percent: int) -> DataFrame
     return all_nodes.select("v", "z").mapInArrow(run, "token long, v long, place long")
 
 
+def size_band(place: Column, percent: int) -> Column:
+    """Linked nodes are in the same size band or in neighbouring ones."""
+    return F.floor(F.log(F.floor(place / POS)) / F.log(F.lit(100.0 / percent))).cast("int")
+
+
 def meetings(tokens: DataFrame, percent: int) -> DataFrame:
-    """The prefix shingles that two or more nodes have, each with the hub of its length band.
+    """The prefix shingles that two or more nodes have, each with the hub of its size band.
 
-    A stream over partitions sorted by shingle and size: the hub is the first node of a shingle, and again the
-    first that is too long for the hub before.
+    A stream over sorted partitions. The hub is the node in which the shingle stands earliest: it has the fewest
+    rare shingles of its own, so it links with more of the copies of one text than any other.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hub, hub_place, alone = None, 0, 0, None
+        last, last_band, hub, hub_place, alone = None, None, 0, 0, None
         for batch in batches:
             out: list[tuple] = []
-            for token, v, place in zip(*(c.to_pylist() for c in batch.columns)):
-                if token != last:
-                    last, hub, hub_place = token, v, place
+            for token, v, place, band in zip(*(c.to_pylist() for c in batch.columns)):
+                new = token != last
+                if new or band != last_band:
+                    last, last_band, hub, hub_place = token, band, v, place
+                if new:
                     alone = (token, v, place, v, place)
                     continue
                 if alone is not None:
                     out.append(alone)
                     alone = None
-                if (hub_place // POS) * 100 < (place // POS) * percent:
-                    hub, hub_place = v, place
                 out.append((token, v, place, hub, hub_place))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["token", "v", "place", "hub", "hub_place"])
     # v is unique per token: nodes are distinct and so are the shingles of a set
-    return tokens.repartition("token").sortWithinPartitions("token", "place", "v").mapInArrow(
+    banded = tokens.withColumn("band", size_band(F.col("place"), percent))
+    return banded.repartition("token").sortWithinPartitions("token", "band", F.col("place") % POS, "v").mapInArrow(
         run, "token long, v long, place long, hub long, hub_place long")
 
 
@@ -214,10 +226,10 @@ def may_link(place: Column, other: Column, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (rest >= need)
 
 
-def parts_fit(place: Column, other: Column, parts: Column, others: Column, percent: int) -> Column:
-    """Suffix filter over hash parts: what the parts' sizes differ by cannot be shared."""
+def bits_fit(place: Column, other: Column, bits: Column, others: Column, percent: int) -> Column:
+    """Suffix filter over bitmaps: every bit that differs is a shingle that only one of the sets has."""
     total = F.floor(place / POS) + F.floor(other / POS)
-    apart = F.aggregate(F.zip_with(parts, others, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    apart = sum((F.bit_count(bits[k].bitwiseXOR(others[k])) for k in range(LONGS)), F.lit(0))
     return apart <= total - 2 * F.ceil(total * percent / (100 + percent))
 
 
@@ -279,7 +291,7 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
             break
         # what the pairs so far left open: nodes of one shingle in different components
         labelled = met.join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
-        labelled = written(_several_components(labelled), "open-meetings").join(all_nodes.select("v", "parts"), "v")
+        labelled = written(_several_components(labelled), "open-meetings").join(all_nodes.select("v", "bits"), "v")
         pairs = _hub_pairs(labelled, all_nodes) if round_ == "hubs of shingles" else _all_pairs(labelled, percent)
         pairs = pairs.join(tried, (F.least(pairs["a"], pairs["b"]) == tried["a"]) & (F.greatest(pairs["a"], pairs["b"]) == tried["b"]),
                            "left_anti")
@@ -294,9 +306,9 @@ def _several_components(met: DataFrame) -> DataFrame:
 
 
 def _bands(met: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The rows in their own and in the next size band, and in their own: linked nodes are in the same or in neighbouring bands."""
-    band = F.floor(F.log(F.floor(F.col("place") / POS)) / F.log(F.lit(100.0 / percent))).cast("int")
-    names = {"v": "v", "place": "p", "root": "r", "parts": "s"}
+    """The rows in their own and in the next size band, and in their own."""
+    band = size_band(F.col("place"), percent)
+    names = {"v": "v", "place": "p", "root": "r", "bits": "s"}
     side = lambda x: met.withColumn("band", band).withColumnsRenamed(
         {old: x if old == "v" else new + x for old, new in names.items()})
     wide = side("b").withColumn("moved", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.col("band") + F.col("moved"))
@@ -331,7 +343,7 @@ def _all_pairs(met: DataFrame, percent: int) -> DataFrame:
 
 def _fit(percent: int) -> Column:
     pa_, pb = F.col("pa"), F.col("pb")
-    return may_link(pa_, pb, percent) & parts_fit(pa_, pb, F.col("sa"), F.col("sb"), percent)
+    return may_link(pa_, pb, percent) & bits_fit(pa_, pb, F.col("sa"), F.col("sb"), percent)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
