@@ -5,6 +5,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions.exprs import try_double
 from shelfwise.operators.ranking import top_k_per_group
@@ -96,15 +97,15 @@ def implicit_feedback(df: DataFrame, rating_col: str = "rating") -> DataFrame:
     return df if rating_col in df.columns else df.withColumn(rating_col, F.lit(1.0))
 
 
-def isin_filter(df: DataFrame, col: str, ids, max_literal: int = 1000) -> DataFrame:
-    """Membership filter; literal ``isin`` for short lists, a semi-join for a DataFrame of ids."""
-    if isinstance(ids, DataFrame):
-        key = ids.columns[0]
-        return df.join(ids.select(F.col(key).alias(col)).distinct(), col, "left_semi")
-    ids = list(ids)
-    if len(ids) > max_literal:
-        raise ValueError("long id lists must be given as a DataFrame (semi-join)")
-    return df.filter(F.col(col).isin(ids))
+def isin_filter(df: DataFrame, col: str, ids) -> DataFrame:
+    """Membership filter as a semi-join, for an id DataFrame (first column) or a list of any length.
+
+    Spark broadcasts the ids when they are small at run time and shuffles otherwise.
+    """
+    if not isinstance(ids, DataFrame):
+        kind = T.StructType([T.StructField(col, df.schema[col].dataType)])
+        ids = df.sparkSession.createDataFrame([(x,) for x in ids], kind)
+    return df.join(ids.select(F.col(ids.columns[0]).alias(col)).distinct(), col, "left_semi")
 
 
 def drop_placeholders(df: DataFrame, title: str = "title", authors: str = "authors",

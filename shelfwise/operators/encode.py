@@ -37,6 +37,21 @@ def global_position(df: DataFrame, order_cols: Sequence[str], name: str = "pos",
             .drop("_mid", "_pid", "_local", "_off"))
 
 
+def running_sum(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
+    """Sum of ``amount`` over all rows up to this one in ``key`` order (unique keys), without a single-partition window.
+
+    As for positions: range partitions pinned by a checkpoint, one offset per partition, a window inside each.
+    """
+    p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = reliable_checkpoint(df.repartitionByRange(p, key)).withColumn("_pid", F.spark_partition_id())
+    sizes = ranged.groupBy("_pid").agg(F.sum(amount).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)  # one row per partition
+    offsets = sizes.select("_pid", (F.sum("_n").over(before) - F.col("_n")).alias("_off"))
+    inside = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    return (ranged.withColumn(name, F.sum(amount).over(inside)).join(F.broadcast(offsets), "_pid")
+            .withColumn(name, F.col(name) + F.col("_off")).drop("_pid", "_off"))
+
+
 def label_encode(df: DataFrame, col: str, code_col: str | None = None) -> DataFrame:
     """Mapping ``(col, code)`` with codes 0..n-1 in ascending ``col`` order."""
     code_col = code_col or f"{col}_encoded"

@@ -1,4 +1,4 @@
-"""Aggregations and profiling (A01-A18). Everything is a partial+final hash aggregate;
+"""Aggregations and profiling (A01-A18). Everything is a partial+final aggregate;
 global constants reach row expressions as scalar subqueries, never as cross joins."""
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.exprs import bayesian_average
+from shelfwise.operators.encode import global_position, running_sum
 
 PRIOR_WEIGHT = 10  # C of the Bayesian average
 MIN_SUPPORT = 10
@@ -24,17 +25,15 @@ def max_ids(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[F.max(c).alias(f"max_{c}") for c in cols])
 
 
-def item_lists(df: DataFrame, key: str, item: str, max_items: int = 100_000) -> DataFrame:
-    """Items per key as sorted lists.
+def item_lists(df: DataFrame, key: str, item: str) -> DataFrame:
+    """Items per key as long rows (key, item, position from 0 in item order).
 
-    A key with more than ``max_items`` items is split into ``ceil(n / max_items)`` parts by item
-    hash, so no single row or task holds an unbounded list; the parts together are the list.
+    One row per item, whatever a key holds: the position is the global one less that of the key's first row, so a
+    key with a third of the rows is spread over range partitions. (key, item) must be unique.
     """
-    n = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
-    tagged = df.join(n, key).withColumn("part", F.pmod(F.xxhash64(item), parts).cast("int"))
-    return tagged.groupBy(key, "part").agg(F.array_sort(F.collect_list(item)).alias("items"),
-                                           F.count(F.lit(1)).alias("n_items"))
+    placed = global_position(df.select(key, item), [key, item], "_at")
+    first = placed.groupBy(key).agg(F.min("_at").alias("_first"))
+    return placed.join(first, key).select(key, item, (F.col("_at") - F.col("_first")).alias("position"))
 
 
 def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:
@@ -61,23 +60,30 @@ def bayesian_ranking(df: DataFrame, key: str, value: str, prior_weight: int = PR
             .filter(F.col("n_ratings") >= min_support))
 
 
-def describe(df: DataFrame, col: str, exact_distinct_limit: int = 1_000_000) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (linear interpolation), max.
+def describe(df: DataFrame, col: str) -> DataFrame:
+    """Count, mean, sample std, min, quartiles (linear interpolation), max; exact at every size.
 
-    ``percentile`` is exact and keeps a (value -> count) map, so its memory is bounded by the
-    number of distinct values; above ``exact_distinct_limit`` distinct values the quartiles fall
-    back to ``percentile_approx`` (documented deviation).
+    The quartiles come from the histogram of values, which Spark aggregates map-side: a global position of each
+    distinct value by range partition, then the running count of rows up to it. No task holds all values.
+    An empty column has count 0 and nulls.
     """
-    nd = df.agg(F.approx_count_distinct(col).alias("d")).first()["d"]
     c = F.col(col)
-    if nd <= exact_distinct_limit:
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    else:
-        q = F.percentile_approx(c.cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 100_000)
-    s = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-               F.min(c).cast("double").alias("min"), q.alias("_q"), F.max(c).cast("double").alias("max"))
-    return s.select("count", "mean", "std", "min", F.col("_q")[0].cast("double").alias("q25"),
-                    F.col("_q")[1].cast("double").alias("q50"), F.col("_q")[2].cast("double").alias("q75"), "max")
+    stats = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                   F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
+    hist = df.select(c.cast("double").alias("x")).filter("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    upto = running_sum(hist, "x", "n", "upto")  # rows (upto - n) .. (upto - 1), counted from 0, have the value x
+    last = (df.select(F.count(c)).scalar() - 1).cast("double")
+    pick, names = [], ("q25", "q50", "q75")
+    for q, name in zip((0.25, 0.5, 0.75), names):
+        at = last * F.lit(q)
+        for side, k in (("low", F.floor(at)), ("high", F.ceil(at))):
+            here = (F.col("upto") > k) & (F.col("upto") - F.col("n") <= k)
+            pick.append(F.max(F.when(here, F.col("x"))).alias(f"{name}_{side}"))
+    ends = upto.agg(*pick)
+    share = [last * F.lit(q) - F.floor(last * F.lit(q)) for q in (0.25, 0.5, 0.75)]
+    quart = ends.select(F.struct(*[(F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * w).alias(n)
+                                   for n, w in zip(names, share)])).scalar()
+    return stats.withColumn("_q", quart).select("count", "mean", "std", "min", *[F.col("_q")[n].alias(n) for n in names], "max")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -108,13 +114,20 @@ def string_stats(df: DataFrame, col: str) -> DataFrame:
                   F.sum(F.col(col).isNull().cast("long")).alias("n_null"))
 
 
-def pivot_mean(df: DataFrame, index: str, columns: str, value: str, values: Sequence, max_columns: int = 1000,
-               fill: float = 0.0) -> DataFrame:
-    """Index x columns of mean(value), missing -> fill, over an explicit bounded value list."""
+def mean_by(df: DataFrame, index: str, columns: str, value: str) -> DataFrame:
+    """A13, long form: mean(value) per index and column value, for every value there is."""
+    return df.groupBy(index, columns).agg(F.avg(value).alias("mean"))
+
+
+def pivot_mean(df: DataFrame, index: str, columns: str, value: str, values: Sequence, fill: float = 0.0) -> DataFrame:
+    """A13, wide form: index x ``values`` of mean(value), missing -> fill.
+
+    ``n_unlisted`` counts an index's rows whose column value is not in ``values``: none vanishes unseen.
+    """
     values = list(values)
-    if len(values) > max_columns:
-        raise ValueError(f"pivot over {len(values)} values exceeds max_columns={max_columns}; use the long form")
-    return df.groupBy(index).pivot(columns, values).agg(F.avg(value)).na.fill(fill)
+    listed = F.col(columns).isin(values) if values else F.lit(False)
+    cells = [F.coalesce(F.avg(F.when(F.col(columns) == v, F.col(value))), F.lit(fill)).alias(str(v)) for v in values]
+    return df.groupBy(index).agg(*cells, F.sum((~F.coalesce(listed, F.lit(False))).cast("long")).alias("n_unlisted"))
 
 
 def rating_sums(df: DataFrame, key: str, value: str = "rating") -> DataFrame:

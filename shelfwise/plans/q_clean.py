@@ -134,7 +134,7 @@ P15_IDS = [1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144, 233, 377, 610, 987, 1597]
 @query("p15_isin", f"""WITH {INTER_SQL}
 SELECT user_id, book_id, rating FROM interactions WHERE book_id IN ({', '.join(map(str, P15_IDS))})""")
 def p15_isin(spark, d):
-    return C.isin_filter(V.interactions(spark, d), "book_id", P15_IDS)
+    return C.isin_filter(V.interactions(spark, d, keep=False), "book_id", P15_IDS)
 
 
 @query("p17_rekey", """SELECT p_partkey + (SELECT max(p_partkey) FROM part WHERE p_size <= 25) AS book_id,

@@ -15,7 +15,7 @@ from shelfwise.plans import views as V
 from shelfwise.plans.q_text import MAX_DF, MIN_DF, book_docs, tfidf_sql, BOOK_TEXT_SQL
 from shelfwise.plans.q_clean import CLEAN_BOOKS_SQL
 from shelfwise.plans.registry import (BOOKS_SQL, DIRTY_BOOKS_SQL, INTER_SQL, SPLIT_SQL, cosine_sql, query,
-                                      topk_sql)
+                                      recs_sql, topk_sql)
 from shelfwise.schemas import PAYLOAD, RATINGS
 from shelfwise.session import scratch_path
 from shelfwise.sources import readers as RD
@@ -35,12 +35,6 @@ def s01_scan_books(spark, d):
     return RD.read_table(spark, path, BOOK_DIM, "csv")
 
 
-@query("s01_missing_file", """SELECT * FROM (SELECT p_partkey AS book_id FROM part) t WHERE false""")
-def s01_missing_file(spark, d):
-    missing = scratch_path(spark, "never_written")
-    return RD.read_table(spark, missing, BOOK_DIM, "csv").select("book_id")
-
-
 @query("s02_scan_ratings", f"""WITH {INTER_SQL} SELECT book_id, user_id, rating FROM interactions""")
 def s02_scan_ratings(spark, d):
     path = scratch_path(spark, "ratings_csv")
@@ -55,7 +49,8 @@ def s03_scan_split(spark, d):
 
 
 @query("s04_metadata_fallback", f"""WITH {SPLIT_SQL}, {BOOKS_SQL}
-SELECT b.book_id, b.title, b.authors FROM books b WHERE b.book_id IN (SELECT book_id FROM test)""")
+SELECT b.book_id, CASE WHEN b.book_id IN (SELECT book_id FROM train) THEN b.title ELSE upper(b.title) END AS title, b.authors
+FROM books b WHERE b.book_id IN (SELECT book_id FROM test)""")
 def s04_metadata_fallback(spark, d):
     sp = V.split_interactions(spark, d)
     train_ids = sp.filter(F.col("split") == "train").select("book_id").distinct()
@@ -63,17 +58,17 @@ def s04_metadata_fallback(spark, d):
     primary = books.join(train_ids, "book_id", "left_semi").select(
         "book_id", F.col("title").alias("book_title"), F.col("authors").alias("author"))
     ids = sp.filter(F.col("split") == "test").select("book_id")
-    return RD.metadata_with_fallback(primary, books, ids, mode="per_key")
+    return RD.metadata_with_fallback(primary, books.withColumn("title", F.upper("title")), ids, mode="per_key")
 
 
 @query("s04_all_or_nothing", f"""WITH {SPLIT_SQL}, {BOOKS_SQL}
-SELECT b.book_id, b.title, b.authors FROM books b WHERE b.book_id IN (SELECT book_id FROM test)""")
+SELECT b.book_id, upper(b.title) AS title, b.authors FROM books b WHERE b.book_id IN (SELECT book_id FROM test)""")
 def s04_all_or_nothing(spark, d):
     sp = V.split_interactions(spark, d)
     books = V.books(spark, d)
     ids = sp.filter(F.col("split") == "test").select("book_id")
     primary = books.select("book_id", "title").withColumnRenamed("title", "book_title")  # no authors column
-    return RD.metadata_with_fallback(primary, books, ids, mode="all_or_nothing")
+    return RD.metadata_with_fallback(primary, books.withColumn("title", F.upper("title")), ids, mode="all_or_nothing")
 
 
 @query("s05_scan_five", """SELECT 'books' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows FROM part
@@ -161,9 +156,14 @@ def k05_vocabulary(spark, d):
     return write_table(vocab.select("term", "index").orderBy("index"), "tfidf_vocabulary", spark)
 
 
-@query("k01_k02_stage_tables")
+@query("k01_k02_stage_tables", f"""WITH {SPLIT_SQL}, {BOOKS_SQL}
+SELECT 'raw_books' AS stage, CAST(COUNT(*) AS BIGINT) AS n_rows FROM books
+UNION ALL SELECT 'raw_ratings', COUNT(*) FROM ir
+UNION ALL SELECT 'merged', COUNT(*) FROM interactions i JOIN books b ON i.book_id = b.book_id
+UNION ALL SELECT 'train', COUNT(*) FROM train
+UNION ALL SELECT 'test', COUNT(*) FROM test""")
 def k01_k02_stage_tables(spark, d):
-    """K01/K02 (rows only): raw books/ratings as CSV, processed stages as Parquet; row counts read back."""
+    """Raw books/ratings as CSV, processed stages as Parquet; row counts read back."""
     sp = V.split_interactions(spark, d)
     stages = {
         "raw_books": write_table(V.books(spark, d), "raw_books", spark, fmt="csv"),
@@ -180,22 +180,38 @@ def k01_k02_stage_tables(spark, d):
     return out
 
 
-@query("k03_matrices")
+@query("k03_matrices", f"""WITH {INTER_SQL}, {BOOK_TEXT_SQL}, {tfidf_sql('bt', 'book_id')},
+{cosine_sql('interactions', 'user_id', 'book_id', 'book_id', 'other_id')},
+{topk_sql('sims', 'book_id', 'nano DESC, other_id', 20, 'nb')}
+SELECT 'user_item' AS matrix, user_id AS row_id, CAST(book_id AS VARCHAR) AS col_id, CAST(rating AS DOUBLE) AS value FROM interactions
+UNION ALL SELECT 'tfidf', book_id, term, round(weight, 6) FROM tfidf
+UNION ALL SELECT 'similarity', book_id, CAST(other_id AS VARCHAR), nano / 1000000000.0 FROM nb""")
 def k03_matrices(spark, d):
-    """K03 (rows only): COO interaction table clustered by book_id, neighbour table; read back."""
+    """User x item, book x term and book x book (the nearest 20) in coordinate form, written clustered by row, read back."""
     inter = V.interactions(spark, d)
+    weights, _ = TX.tfidf(book_docs(spark, d), "book_id", "text", MIN_DF, MAX_DF)
+    cell = lambda df, row, col, value: df.select(
+        F.col(row).cast("long").alias("row_id"), F.col(col).cast("string").alias("col_id"), value.cast("double").alias("value"))
+    made = {"user_item": cell(inter, "user_id", "book_id", F.col("rating")),
+            "tfidf": cell(weights, "book_id", "term", F.round("weight", 6)),
+            "similarity": cell(S.item_neighbors(inter, k=20), "book_id", "other_id", F.col("nano") / F.lit(1_000_000_000.0))}
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    coo = write_table(inter.repartition(n, "book_id").sortWithinPartitions("book_id", "user_id"), "user_item", spark)
-    return coo
+    out = None
+    for name, m in made.items():
+        back = write_table(m.repartition(n, "row_id").sortWithinPartitions("row_id", "col_id"), name, spark)
+        back = back.select(F.lit(name).alias("matrix"), "row_id", "col_id", "value")
+        out = back if out is None else out.unionByName(back)
+    return out
 
 
-@query("k08_request_results")
+@query("k08_request_results", f"""WITH {INTER_SQL}, {recs_sql('interactions', 19, 5, 'recs')}
+SELECT user_id, book_id, score_nano, score_nano / 1000000000.0 AS score, rank, 'r1' AS run FROM recs""")
 def k08_request_results(spark, d):
-    """K08 (rows only): one results table partitioned by run instead of a file per request."""
+    """One results table partitioned by run instead of a file per request."""
     inter = V.interactions(spark, d)
     recs = R.recommend_for_users(inter, S.item_neighbors(inter, k=19), n=5)
     t = write_table(recs.withColumn("run", F.lit("r1")), "request_results", spark, partition_by=["run"])
-    return t.filter(F.col("run") == "r1")
+    return t.filter(F.col("run") == "r1").select("user_id", "book_id", "score_nano", "score", "rank", "run")
 
 
 @query("k09_test_report")

@@ -95,7 +95,7 @@ def d01_keep_first(spark, d):
 
 @query("d02_keep_last", f"""WITH {INTER_SQL} SELECT user_id, book_id, rating FROM interactions""")
 def d02_keep_last(spark, d):
-    return V.interactions(spark, d)
+    return V.interactions(spark, d, keep=False)
 
 
 @query("d03_one_per_book", """SELECT goodreads_book_id, tag_id, count FROM (
@@ -169,10 +169,10 @@ def u02_append_ingest_ratings(spark, d):
 
 
 @query("u03_difference", f"""WITH {INTER_SQL}
-SELECT c_custkey AS user_id FROM customer EXCEPT SELECT user_id FROM interactions""")
+SELECT book_id FROM interactions EXCEPT SELECT p_partkey FROM part WHERE p_size <= 25""")
 def u03_difference(spark, d):
-    cust = V.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
-    return D.key_difference(cust, V.interactions(spark, d), "user_id")
+    small = V.books(spark, d).filter(F.col("size") <= 25).select("book_id")
+    return D.key_difference(V.interactions(spark, d, keep=False).select("book_id"), small, "book_id")
 
 
 @query("u04_u05_overlap", f"""WITH {INTER_SQL},
@@ -201,21 +201,20 @@ def u04_u05_overlap(spark, d):
 SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(DISTINCT user_id) AS BIGINT) AS n_user_id,
        CAST(COUNT(DISTINCT book_id) AS BIGINT) AS n_book_id FROM interactions""")
 def a01_counts(spark, d):
-    return A.counts(V.interactions(spark, d), ["user_id", "book_id"])
+    return A.counts(V.interactions(spark, d, keep=False), ["user_id", "book_id"])
 
 
 @query("a02_max_ids", f"""WITH {INTER_SQL}
 SELECT max(user_id) AS max_user_id, max(book_id) AS max_book_id FROM interactions""")
 def a02_max_ids(spark, d):
-    return A.max_ids(V.interactions(spark, d), ["user_id", "book_id"])
+    return A.max_ids(V.interactions(spark, d, keep=False), ["user_id", "book_id"])
 
 
 @query("a03_user_lists", f"""WITH {INTER_SQL}
-SELECT user_id, 0 AS part, string_agg(CAST(book_id AS VARCHAR), ',' ORDER BY book_id) AS items,
-       CAST(COUNT(*) AS BIGINT) AS n_items FROM interactions GROUP BY 1""")
+SELECT user_id, book_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY book_id) - 1 AS BIGINT) AS position
+FROM interactions""")
 def a03_user_lists(spark, d):
-    out = A.item_lists(V.interactions(spark, d), "user_id", "book_id")
-    return out.withColumn("items", F.array_join("items", ","))
+    return A.item_lists(V.interactions(spark, d, keep=False), "user_id", "book_id")
 
 
 @query("a04_value_counts", """SELECT l_suppkey AS tag_id, CAST(COUNT(*) AS BIGINT) AS count
@@ -234,7 +233,7 @@ def a05_mean_count(spark, d):
 @query("a06_global", f"""WITH {INTER_SQL}
 SELECT round(avg(rating), 6) AS mean, min(rating) AS min, max(rating) AS max FROM interactions""")
 def a06_global(spark, d):
-    return A.global_stats(V.interactions(spark, d), "rating").withColumn("mean", F.round("mean", 6))
+    return A.global_stats(V.interactions(spark, d, keep=False), "rating").withColumn("mean", F.round("mean", 6))
 
 
 BAYES_SQL = f"""{INTER_SQL}, {BOOKS_SQL},
@@ -304,18 +303,19 @@ def a12_string_stats(spark, d):
 
 @query("a13_pivot", f"""WITH {INTER_SQL}, {BOOKS_SQL}
 SELECT i.user_id, """ + ", ".join(
-    f"round(coalesce(avg(CASE WHEN b.category = '{c}' THEN i.rating END), 0), 6) AS {c}" for c in CATEGORIES) + """
+    f"round(coalesce(avg(CASE WHEN b.category = '{c}' THEN i.rating END), 0), 6) AS {c}" for c in CATEGORIES) + f""",
+  CAST(SUM(CASE WHEN b.category IN ({', '.join(f"'{c}'" for c in CATEGORIES)}) THEN 0 ELSE 1 END) AS BIGINT) AS n_unlisted
 FROM interactions i JOIN books b ON i.book_id = b.book_id GROUP BY 1""")
 def a13_pivot(spark, d):
     out = A.pivot_mean(rated_books(spark, d), "user_id", "category", "rating", CATEGORIES)
-    return out.select("user_id", *[F.round(c, 6).alias(c) for c in CATEGORIES])
+    return out.select("user_id", *[F.round(c, 6).alias(c) for c in CATEGORIES], "n_unlisted")
 
 
 @query("a14_norms", f"""WITH {INTER_SQL}
 SELECT user_id, CAST(SUM(rating) AS BIGINT) AS rating_sum, CAST(SUM(rating * rating) AS BIGINT) AS norm2
 FROM interactions GROUP BY 1""")
 def a14_norms(spark, d):
-    return A.rating_sums(V.interactions(spark, d), "user_id")
+    return A.rating_sums(V.interactions(spark, d, keep=False), "user_id")
 
 
 @query("a16_audit", f"""WITH {DIRTY_RATINGS_SQL},
@@ -332,4 +332,4 @@ def a16_audit(spark, d):
 @query("a18_distribution", f"""WITH {INTER_SQL}
 SELECT rating, CAST(COUNT(*) AS BIGINT) AS count FROM interactions GROUP BY 1 ORDER BY 1""")
 def a18_distribution(spark, d):
-    return A.distribution(V.interactions(spark, d), "rating")
+    return A.distribution(V.interactions(spark, d, keep=False), "rating")

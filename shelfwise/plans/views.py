@@ -29,13 +29,15 @@ def interactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEQ_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
 
 
-def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D02 over ``interactions_raw``: the last row per (user, book) in sequence order wins."""
+def interactions(spark: SparkSession, sf_dir: str, keep: bool = True) -> DataFrame:
+    """D02 over ``interactions_raw``: the last row per (user, book) in sequence order wins.
+
+    ``keep`` persists it (memory, then disk) for plans that read it several times; single-pass plans leave it lazy,
+    so their filters and columns reach the scan. A lost executor computes its blocks again from lineage.
+    """
     from shelfwise.operators.dedup import keep_last
-    # Reused by several branches of every recommender plan: persisted (memory, spilling to disk).
-    # Identical plans share one cache entry; a lost executor recomputes its blocks from lineage.
-    return keep_last(interactions_raw(spark, sf_dir), ["user_id", "book_id"], SEQ_COLS, ["rating"]).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    last = keep_last(interactions_raw(spark, sf_dir), ["user_id", "book_id"], SEQ_COLS, ["rating"])
+    return last.persist(StorageLevel.MEMORY_AND_DISK) if keep else last
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,8 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a scratch folder created and set.
+    Only a local session without one (tests) gets a scratch folder; on a cluster that is an error, since every
+    machine would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -39,6 +40,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -51,8 +51,27 @@ def test_append_ingest_clashing_ids(spark):
     assert sorted((r.book_id, r.rating) for r in ratings.collect()) == [(1, 3), (2, 4), (4, 1)]
 
 
-def test_item_lists_split_large_groups(spark):
-    df = spark.createDataFrame([(1, i) for i in range(10)] + [(2, 5)], "u long, b long")
-    out = A.item_lists(df, "u", "b", max_items=4).collect()
-    u1 = [r for r in out if r.u == 1]
-    assert len(u1) == 3 and sorted(x for r in u1 for x in r["items"]) == list(range(10))
+def test_item_lists_are_long_rows(spark):
+    df = spark.createDataFrame([(1, 3 * i) for i in range(200)] + [(2, 5)], "u long, b long")
+    out = sorted(tuple(r) for r in A.item_lists(df, "u", "b").collect())
+    assert out == [(1, 3 * i, i) for i in range(200)] + [(2, 5, 0)]
+
+
+def test_pivot_reports_unlisted_values(spark):
+    df = spark.createDataFrame([(1, "a", 2), (1, "a", 4), (1, "z", 9), (2, None, 1)], "u long, c string, v long")
+    got = {r.u: (r.a, r.b, r.n_unlisted) for r in A.pivot_mean(df, "u", "c", "v", ["a", "b"]).collect()}
+    assert got == {1: (3.0, 0.0, 1), 2: (0.0, 0.0, 1)}
+    assert {(r.u, r.c): r["mean"] for r in A.mean_by(df, "u", "c", "v").collect()} == {(1, "a"): 3, (1, "z"): 9, (2, None): 1}
+
+
+def test_describe_of_many_and_of_no_values(spark):
+    many = A.describe(spark.range(1001).select((F.col("id") * 3).alias("c")), "c").first()
+    assert (many.q25, many.q50, many.q75) == (750.0, 1500.0, 2250.0)
+    none = A.describe(spark.range(3).select(F.lit(None).cast("long").alias("c")), "c").first()
+    assert none["count"] == 0 and none.q50 is None
+
+
+def test_isin_takes_long_lists(spark):
+    from shelfwise.operators.cleaning import isin_filter
+    df = spark.range(5000)
+    assert isin_filter(df, "id", list(range(0, 8000, 2))).count() == 2500 and isin_filter(df, "id", []).count() == 0
