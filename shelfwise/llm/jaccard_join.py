@@ -124,7 +124,7 @@ def frequencies(sketch: DataFrame) -> np.ndarray:
 
 
 def nodes(docs: DataFrame, width: int) -> DataFrame:
-    """(v, z, bits, mins): one packed text per distinct set, the bitmap of its shingles, its min-hashes.
+    """(v, z, n, bits, mins): one packed text per distinct set, its size, the bitmap of its shingles, its min-hashes.
 
     Hash-partitioned by v and kept on the executors' disks; a lost part is computed again.
     """
@@ -150,10 +150,11 @@ def nodes(docs: DataFrame, width: int) -> DataFrame:
                     lows[:, k] = low[np.searchsorted(filled, keep)]
                 lows = lows.ravel().view(np.int64)
                 mins = pa.ListArray.from_arrays(np.arange(0, len(lows) + 1, MINS, dtype=np.int32), pa.array(lows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array(z, pa.binary()), bitmap, mins],
-                                                 ["v", "z", "bits", "mins"])
+                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array(z, pa.binary()),
+                                                  pa.array(np.diff(first)[keep].astype(np.int64)), bitmap, mins],
+                                                 ["v", "z", "n", "bits", "mins"])
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = docs.select(F.col("text").alias("text")).mapInArrow(run, "v long, z binary, bits array<long>, mins array<long>")
+    found = docs.select(F.col("text").alias("text")).mapInArrow(run, "v long, z binary, n long, bits array<long>, mins array<long>")
     return found.repartition(n, "v").dropDuplicates(["v"]).persist(StorageLevel.DISK_ONLY)
 
 
@@ -226,13 +227,21 @@ def may_link(place: Column, other: Column, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (rest >= need)
 
 
-def bits_fit(place: Column, other: Column, bits: Column, others: Column, percent: int) -> Column:
-    """Suffix filter over bitmaps: every bit that differs is a shingle that only one of the sets has."""
-    total = F.floor(place / POS) + F.floor(other / POS)
+def bits_fit(n: Column, m: Column, bits: Column, others: Column, percent: int) -> Column:
+    """Suffix filter over bitmaps: every bit that differs is a shingle that only one of the sets (of sizes n and m) has."""
+    total = n + m
     apart = sum((F.bit_count(bits[k].bitwiseXOR(others[k])) for k in range(LONGS)), F.lit(0))
     return apart <= total - 2 * F.ceil(total * percent / (100 + percent))
 
 
+def fitting(pairs: DataFrame, all_nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass the suffix filter: bitmaps move to the pairs, so fewer texts have to."""
+    def side(x: str) -> DataFrame:
+        return all_nodes.select(F.col("v").alias(x), F.col("n").alias("n" + x), F.col("bits").alias("s" + x))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    return both.filter(bits_fit(F.col("na"), F.col("nb"), F.col("sa"), F.col("sb"), percent)).select("a", "b")
+
+
 def verified(pairs: DataFrame, all_nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link. Every pair comes once; a is the side that may repeat often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,6 +287,7 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
     met = written(meetings(prefixes(all_nodes, order, width, percent), percent), "shingle-meetings")
     pairs = met.filter((F.col("v") != F.col("hub")) & may_link(F.col("place"), F.col("hub_place"), percent)).select(
         F.col("hub").alias("a"), F.col("v").alias("b")).distinct()
+    pairs = fitting(pairs, all_nodes, percent)
     met = met.select("token", "v", "place")
     tried = linked = None
     for round_ in ("hubs of shingles", "neighbours by min-hash", "all that is open"):
@@ -291,8 +301,11 @@ def links(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame
             break
         # what the pairs so far left open: nodes of one shingle in different components
         labelled = met.join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
-        labelled = written(_several_components(labelled), "open-meetings").join(all_nodes.select("v", "bits"), "v")
-        pairs = _hub_pairs(labelled, all_nodes) if round_ == "hubs of shingles" else _all_pairs(labelled, percent)
+        labelled = written(_several_components(labelled), "open-meetings")
+        if round_ == "hubs of shingles":
+            pairs = fitting(_hub_pairs(labelled, all_nodes), all_nodes, percent)
+        else:
+            pairs = _all_pairs(labelled, all_nodes, percent)
         pairs = pairs.join(tried, (F.least(pairs["a"], pairs["b"]) == tried["a"]) & (F.greatest(pairs["a"], pairs["b"]) == tried["b"]),
                            "left_anti")
     all_nodes.unpersist()
@@ -328,22 +341,27 @@ def _hub_pairs(met: DataFrame, all_nodes: DataFrame, near: int = 3) -> DataFrame
     return pairs.filter(F.col("x.root") != F.col("root")).select(F.col("x.v").alias("a"), F.col("v").alias("b")).distinct()
 
 
-def _all_pairs(met: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one shingle in different components.
+def _first_meetings(met: DataFrame) -> DataFrame:
+    """The rows with ``before``, the open shingle before theirs in the same node (the node itself at the first one).
 
-    Nodes whose shingle before is the same one meet there already, so a passage makes a pair once, not once a shingle.
+    Nodes whose shingle before is the same one meet there already, so a shingle before which all its nodes have the same
+    one makes no new pair and goes: of the shingles of a passage mostly the first is left.
     """
     before = F.coalesce(F.lag("token").over(Window.partitionBy("v").orderBy("place")), F.col("v"))  # a node's own rows: its prefix
-    wide, own = _bands(met.withColumn("before", before), percent)
+    rows = met.withColumn("before", before)
+    differ = rows.groupBy("token").agg(F.min("before").alias("low"), F.max("before").alias("high")).filter("low < high").select("token")
+    return rows.join(differ, "token", "left_semi")
+
+
+def _all_pairs(met: DataFrame, all_nodes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of one shingle in different components, each once and not once a shingle."""
+    first = written(_first_meetings(met), "first-meetings").join(all_nodes.select("v", "bits"), "v")
+    wide, own = _bands(first, percent)
     wide, own = wide.withColumnRenamed("before", "fb"), own.withColumnRenamed("before", "fa")
+    n, m = F.floor(F.col("pa") / POS), F.floor(F.col("pb") / POS)
     return wide.join(own, ["token", "band"]).filter(
         (F.col("fa") != F.col("fb")) & ((F.col("moved") == 1) | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb"))
-        & _fit(percent)).select("a", "b").distinct()
-
-
-def _fit(percent: int) -> Column:
-    pa_, pb = F.col("pa"), F.col("pb")
-    return may_link(pa_, pb, percent) & bits_fit(pa_, pb, F.col("sa"), F.col("sb"), percent)
+        & may_link(F.col("pa"), F.col("pb"), percent) & bits_fit(n, m, F.col("sa"), F.col("sb"), percent)).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
