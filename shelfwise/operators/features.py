@@ -50,17 +50,16 @@ def category_onehot(books: DataFrame, col: str = "category", n: int = 20, id_col
 
 
 def minmax(books: DataFrame, cols: Sequence[str], id_col: str = "book_id") -> DataFrame:
-    """(x - min) / (max - min); constant column -> 0; NULL -> 0. Bounds are scalar subqueries."""
-    parts = []
-    for c in cols:
-        lo = books.select(F.min(c).cast("double")).scalar()
-        hi = books.select(F.max(c).cast("double")).scalar()
+    """(x - min) / (max - min); constant column -> 0; NULL -> 0. All bounds are one scalar subquery, all columns one pass."""
+    bounds = books.agg(F.array(*(F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"))
+                                 for c in cols)).alias("bounds")).scalar()
+
+    def scaled(i: int, c: str):
+        lo, hi = F.col("_bounds")[i]["lo"], F.col("_bounds")[i]["hi"]
         v = F.when(hi > lo, (F.col(c).cast("double") - lo) / (hi - lo)).otherwise(F.lit(0.0))
-        parts.append(books.select(id_col, F.lit(c).alias("feature"), F.coalesce(v, F.lit(0.0)).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return F.struct(F.lit(c).alias("feature"), F.coalesce(v, F.lit(0.0)).alias("value"))
+    cells = books.withColumn("_bounds", bounds).select(id_col, F.explode(F.array(*(scaled(i, c) for i, c in enumerate(cols)))).alias("x"))
+    return cells.select(id_col, "x.feature", "x.value")
 
 
 def assemble(books: DataFrame, blocks: Sequence[DataFrame], id_col: str = "book_id") -> DataFrame:

@@ -12,6 +12,16 @@ from shelfwise.functions.exprs import NANO, safe_divide
 from shelfwise.operators.ranking import top_k_per_group
 
 
+def user_item_entries(ratings: DataFrame, user_col: str = "user_id", item_col: str = "book_id",
+                      rating_col: str = "rating") -> DataFrame:
+    """The sparse user x item matrix as (user, item, rating) entries, duplicates summed.
+
+    The sum is a long for integer ratings; rows without a user or an item are no entry, null ratings add nothing.
+    """
+    kept = ratings.filter(F.col(user_col).isNotNull() & F.col(item_col).isNotNull())
+    return kept.groupBy(user_col, item_col).agg(F.coalesce(F.sum(rating_col), F.lit(0)).alias(rating_col))
+
+
 def score_candidates(interactions: DataFrame, neighbors: DataFrame, user_col: str = "user_id",
                      item_col: str = "book_id", rating_col: str = "rating",
                      other_col: str = "other_id") -> DataFrame:

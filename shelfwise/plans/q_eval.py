@@ -12,7 +12,7 @@ from shelfwise.operators import serve as SV
 from shelfwise.operators import similarity as S
 from shelfwise.operators.ranking import sample_keys, top_k_per_group
 from shelfwise.plans import views as V
-from shelfwise.plans.registry import (BOOKS_SQL, INTER_SQL, SPLIT_SQL, VALID_SQL, cosine_sql, query, recs_sql,
+from shelfwise.plans.registry import (BOOKS_SQL, INTER_SQL, IR_SQL, SPLIT_SQL, VALID_SQL, cosine_sql, query, recs_sql,
                                       topk_sql)
 
 SEED = 42
@@ -63,6 +63,12 @@ def w09_sample(spark, d):
 
 
 # ---- recommenders --------------------------------------------------------------------------------
+@query("r01_user_item", f"""WITH {IR_SQL}
+SELECT user_id, book_id, CAST(SUM(rating) AS BIGINT) AS rating FROM ir GROUP BY 1, 2""")
+def r01_user_item(spark, d):
+    return R.user_item_entries(V.interactions_raw(spark, d))
+
+
 @query("r04_similar_books", f"""WITH {INTER_SQL},
 {cosine_sql('interactions', 'user_id', 'book_id', 'book_id', 'other_id')},
 {topk_sql('sims', 'book_id', 'nano DESC, other_id', 5, 'nb')}
@@ -187,15 +193,20 @@ def r14_similar_with_metadata(spark, d):
     return nb.join(meta, "other_id").select("book_id", "other_id", "title", "authors", "rank")
 
 
-def _serving_tables(spark, d):
-    inter = V.interactions(spark, d)
-    nb = S.item_neighbors(inter, k=SERVE_K)
-    # one neighbour table serves both: scoring uses its first SCORE_K ranks
-    recs = R.recommend_for_users(inter, nb.filter(F.col("rank") <= SCORE_K), n=SERVE_K)
-    books = V.books(spark, d)
-    user_recs = R.attach_metadata(recs, books)
-    similar = nb.join(books.select(F.col("book_id").alias("other_id"), "title", "authors"), "other_id")
-    return user_recs, similar
+def _answers(spark, d):
+    """(validated requests, their items); only the requested users and books are scored."""
+    from shelfwise.sources.sinks import write_table
+    valid = SV.validate_requests(V.requests(spark, d))
+    ok = valid.filter(F.col("status") == 200)
+    asked = lambda kind, name: ok.filter(F.col("kind") == kind).select(F.col("target_id").alias(name))
+    inter, books = V.interactions(spark, d), V.books(spark, d)
+    # the neighbour table is written once (K10) and serves both: scoring uses its first SCORE_K ranks
+    nb = write_table(S.item_neighbors(inter, k=SERVE_K), "item_neighbors", spark)
+    recs = R.recommend_for_users(inter.join(asked("user", "user_id"), "user_id", "left_semi"),
+                                 nb.filter(F.col("rank") <= SCORE_K), n=SERVE_K)
+    similar = nb.join(asked("book", "book_id"), "book_id", "left_semi").join(
+        books.select(F.col("book_id").alias("other_id"), "title", "authors"), "other_id")
+    return valid, SV.answer(valid, R.attach_metadata(recs, books), similar)
 
 
 SERVE_SQL = f"""{INTER_SQL}, {BOOKS_SQL}, {VALID_SQL},
@@ -219,16 +230,28 @@ def p19_validate_requests(spark, d):
 @query("r16_batch_serving", f"""WITH {SERVE_SQL}
 SELECT request_id, kind, target_id, book_id, title, authors, rank FROM items""")
 def r16_batch_serving(spark, d):
-    user_recs, similar = _serving_tables(spark, d)
-    return SV.answer(SV.validate_requests(V.requests(spark, d)), user_recs, similar)
+    return _answers(spark, d)[1]
 
 
 @query("p20_response", f"""WITH {SERVE_SQL}
 SELECT request_id, book_id, coalesce(title, 'Book ' || CAST(book_id AS VARCHAR)) AS title,
        coalesce(authors, 'Unknown Author') AS authors, rank FROM items""")
 def p20_response(spark, d):
-    user_recs, similar = _serving_tables(spark, d)
-    return SV.project_response(SV.answer(SV.validate_requests(V.requests(spark, d)), user_recs, similar))
+    return SV.project_response(_answers(spark, d)[1])
+
+
+@query("p20_nested", f"""WITH {SERVE_SQL},
+bodies AS (SELECT request_id, CAST(COUNT(*) AS INTEGER) AS n, CAST(to_json(list({{
+    'rank': rank, 'book_id': book_id, 'title': coalesce(title, 'Book ' || CAST(book_id AS VARCHAR)),
+    'authors': coalesce(authors, 'Unknown Author')}} ORDER BY rank)) AS VARCHAR) AS body FROM items GROUP BY 1)
+SELECT v.request_id, v.kind, v.target_id,
+       CAST(CASE WHEN v.status = 200 AND b.n IS NULL THEN 404 ELSE v.status END AS INTEGER) AS status,
+       coalesce(b.n, 0) AS n_items, coalesce(b.body, '[]') AS body
+FROM valid v LEFT JOIN bodies b USING (request_id)""")
+def p20_nested(spark, d):
+    valid, items = _answers(spark, d)
+    named = SV.project_response(items)
+    return SV.respond(valid, named, empty_status=404).withColumn("body", F.to_json("recommendations")).drop("recommendations")
 
 
 # ---- evaluation ----------------------------------------------------------------------------------
@@ -343,15 +366,33 @@ def e05_cold_start(spark, d):
     return E.counts_per_key(probe, recs, "user_id")
 
 
-@query("e06_summary", f"""WITH {OVERLAP_SQL}, sb AS (SELECT 1 AS x), bc0 AS (SELECT 1 AS x)
+@query("e06_summary", f"""WITH {OVERLAP_SQL},
+sb AS (SELECT book_id FROM (SELECT DISTINCT book_id FROM interactions) t
+       ORDER BY md5(concat_ws('|', '42', CAST(book_id AS VARCHAR))), book_id LIMIT 5),
+{topk_sql('sims', 'book_id', 'nano DESC, other_id', 5, 'bnb')},
+bc AS (SELECT sb.book_id, COUNT(bnb.other_id) AS n_items FROM sb LEFT JOIN bnb ON bnb.book_id = sb.book_id GROUP BY 1)
 SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM su) AS n_users,
        round((SELECT avg(coalesce(c.n, 0)) FROM su LEFT JOIN cnt c ON c.user_id = su.user_id), 6) AS avg_items_per_user,
        (SELECT CAST(COUNT(*) AS BIGINT) FROM pairs) AS n_pairs,
-       round((SELECT avg(jaccard) FROM jac), 6) AS mean_jaccard""")
+       round((SELECT avg(jaccard) FROM jac), 6) AS mean_jaccard,
+       round((SELECT avg(n_items) FROM bc), 6) AS avg_similar_book_count,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM recs WHERE user_id = (SELECT max(user_id) FROM interactions) + 100)
+         AS cold_start_count""")
 def e06_summary(spark, d):
-    ov, recs, users = _overlap(spark, d)
+    from shelfwise.sources.sinks import write_table
+    inter = V.interactions(spark, d)
+    users = sample_keys(inter, "user_id", 5, SEED)
+    cold = spark.range(1).select((inter.select(F.max("user_id")).scalar() + 100).alias("user_id"))
+    # neighbours and the sampled lists are written once; all figures read those
+    nb = write_table(S.item_neighbors(inter, k=SCORE_K), "item_neighbors", spark)
+    asked = inter.join(users.unionByName(cold), "user_id", "left_semi")
+    recs = write_table(R.recommend_for_users(asked, nb, n=5), "sampled_recommendations", spark)
+    ov = E.list_overlap(recs, users, n=5)
     per_user = E.counts_per_key(users, recs, "user_id")
+    per_book = E.counts_per_key(sample_keys(inter, "book_id", 5, SEED), nb.filter(F.col("rank") <= 5), "book_id")
     return spark.range(1).select(
+        per_book.select(F.round(F.avg("n_items"), 6)).scalar().alias("avg_similar_book_count"),
+        E.counts_per_key(cold, recs, "user_id").select(F.sum("n_items")).scalar().alias("cold_start_count"),
         users.select(F.count(F.lit(1))).scalar().alias("n_users"),
         per_user.select(F.round(F.avg("n_items"), 6)).scalar().alias("avg_items_per_user"),
         ov.select(F.count(F.lit(1))).scalar().alias("n_pairs"),

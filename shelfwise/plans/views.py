@@ -109,7 +109,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def implicit_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Implicit feedback from events: item = props.k, rating = number of events (P14 + R01)."""
     ev = table(spark, sf_dir, "events").select("user_id", F.get_json_object("props", "$.k").cast("long").alias("book_id"))
-    return ev.groupBy("user_id", "book_id").agg(F.count(F.lit(1)).cast("int").alias("rating"))
+    from shelfwise.operators.recommend import user_item_entries
+    return user_item_entries(ev.withColumn("rating", F.lit(1))).withColumn("rating", F.col("rating").cast("int"))
 
 
 def split_interactions(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:

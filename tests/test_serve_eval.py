@@ -43,3 +43,30 @@ def test_list_overlap_skips_empty(spark):
     users = spark.createDataFrame([(1,), (2,), (3,)], "user_id long")
     got = {(r.user_id_a, r.user_id_b): r.jaccard for r in E.list_overlap(recs, users, n=5).collect()}
     assert got[(1, 2)] == 0.5 and got[(1, 3)] is None and got[(2, 3)] is None
+
+
+def test_respond_answers_every_request(spark):
+    valid = spark.createDataFrame([(1, "user", 5, 2, 200), (2, "user", 6, 5, 200), (3, "book", 0, 5, 404), (4, "user", None, 5, 422)],
+                                  "request_id long, kind string, target_id long, count int, status int")
+    items = spark.createDataFrame([(1, 8, "t", "a", 2), (1, 7, "t", "a", 1)],
+                                  "request_id long, book_id long, title string, authors string, rank int")
+    for empty in (200, 404):
+        got = {r.request_id: r for r in SV.respond(valid, items, empty_status=empty).collect()}
+        assert {k: (r.status, r.n_items) for k, r in got.items()} == {1: (200, 2), 2: (empty, 0), 3: (404, 0), 4: (422, 0)}
+        assert [x.book_id for x in got[1].recommendations] == [7, 8] and got[3].recommendations == []
+
+
+def test_user_item_entries_sum_duplicates(spark):
+    from shelfwise.operators.recommend import user_item_entries
+    df = spark.createDataFrame([(1, 2, 3), (1, 2, 4), (1, 3, None), (None, 2, 5), (1, None, 5)], "user_id long, book_id long, rating int")
+    assert sorted(map(tuple, user_item_entries(df).collect())) == [(1, 2, 7), (1, 3, 0)]
+    assert user_item_entries(df.limit(0)).collect() == []
+
+
+def test_one_pass_minmax(spark):
+    from shelfwise.operators.features import minmax
+    df = spark.createDataFrame([(1, 0, 5), (2, 10, 5), (3, None, 5)], "book_id long, size int, price int")
+    out = minmax(df, ["size", "price"])
+    assert sorted(map(tuple, out.collect())) == [(1, "price", 0.0), (1, "size", 0.0), (2, "price", 0.0), (2, "size", 1.0),
+                                                 (3, "price", 0.0), (3, "size", 0.0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1 + 2  # one scan, one subquery
