@@ -73,3 +73,11 @@ def test_overlap():
             continue
         both = len(np.intersect1d(x, y))
         assert jaccard_join._overlap_links(x, y, 80) == (100 * both >= 80 * (len(x) + len(y) - both))
+
+
+def test_only_shingles_with_differing_ones_before_are_joined(spark):
+    # nodes 1-3 share the passage 10, 11, 12; node 3 comes to 12 over 20, so 11 alone has nothing new
+    rows = [(10, 1, 0), (11, 1, 1), (12, 1, 2), (10, 2, 0), (11, 2, 1), (12, 2, 2), (20, 3, 0), (12, 3, 1), (20, 4, 0)]
+    met = spark.createDataFrame([(t, v, jaccard_join.POS * 9 + p, v) for t, v, p in rows], "token long, v long, place long, root long")
+    left = {(r.token, r.v, r.before) for r in jaccard_join._first_meetings(met).collect()}
+    assert left == {(10, 1, 1), (10, 2, 2), (12, 1, 11), (12, 2, 11), (12, 3, 20), (20, 3, 3), (20, 4, 4)}
