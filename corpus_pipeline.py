@@ -17,8 +17,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that spread over many sources."""
-    return line_dedup.deduplicated(docs)
+    """Texts without the lines that spread over many sources; those that hold nothing else stay for the next stage."""
+    return line_dedup.deduplicated(docs, max_share=None)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

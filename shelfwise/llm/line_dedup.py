@@ -3,8 +3,9 @@
 Method: every non-blank line (trimmed, split at line feeds) is keyed by its hash and site. One HyperLogLog sketch of the sites
 per line hash is merged by aggregation. A line whose estimate is clear of ``min_sites`` by more than ``band`` is
 decided by the sketch; lines nearer to it get an exact distinct count. Boilerplate lines are then removed from all
-texts. A document that would lose more than ``max_share`` of its non-blank lines is a copy rather than a page with
-boilerplate and stays whole: copies are for near-duplicate operators.
+texts. With ``max_share`` None only a text whose non-blank lines are all boilerplate stays whole: it may be a copy,
+and copies are for near-duplicate operators. With a number (as ORACLE has it) every text that would lose more than
+that share of its non-blank lines stays whole, also short pages that are no copies.
 
 Cases: null text stays null, blank lines always stay; a null site is no site; repeated rows count once, since
 sites are counted; equal texts are treated alike; an empty table gives an empty result; extra columns pass through.
@@ -56,7 +57,7 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = 8, band:
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = 8, band: float = 0.25,
-                       max_share: float = 0.5) -> tuple[DataFrame, str]:
+                       max_share: float | None = 0.5) -> tuple[DataFrame, str]:
     """``docs`` with the shortened text and one struct column (its name is returned): n_lines and n_removed."""
     key, gone, out = (free_name(docs, n) for n in ("text_key", "gone_lines", "line_dedup"))
     text = F.col("text")
@@ -70,7 +71,8 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = 8
     n_lines = F.coalesce(F.size(F.filter(_lines(text), _filled)), F.lit(0))
     n_gone = F.when(F.col(gone).isNull(), F.lit(0)).otherwise(F.size(F.filter(_lines(text), lost)))
     counted = joined.withColumn(out, F.struct(n_lines.cast("long").alias("n_lines"), n_gone.cast("long").alias("n_cross_site")))
-    cut = (F.col(out)["n_cross_site"] > 0) & (F.col(out)["n_cross_site"] <= max_share * F.col(out)["n_lines"])
+    few = F.col(out)["n_cross_site"] < F.col(out)["n_lines"] if max_share is None else F.col(out)["n_cross_site"] <= max_share * F.col(out)["n_lines"]
+    cut = (F.col(out)["n_cross_site"] > 0) & few
     short = F.when(cut, F.array_join(F.filter(_lines(text), lambda x: ~lost(x)), "\n")).otherwise(text)
     done = counted.withColumn("text", short).withColumn(out, F.struct(
         F.col(out)["n_lines"].alias("n_lines"), F.col(out)["n_cross_site"].alias("n_cross_site"),

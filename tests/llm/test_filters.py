@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfwise.llm import decontaminate, line_dedup, mixing, quality_rules, url_filter
 from tests.llm import brute
 
@@ -83,6 +84,14 @@ def test_lines(spark):
     assert line_dedup.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_short_pages_lose_their_boilerplate(spark):
+    rows = [(s, f"Header line\nonly text of page {s}\nFooter line", f"s{s}") for s in range(9)]
+    rows += [(100 + s, "Header line\n\nFooter line", f"s{s}") for s in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {**{s: f"only text of page {s}" for s in range(9)}, **{100 + s: "Header line\n\nFooter line" for s in range(9)}}
+
+
 def test_near_threshold_lines_are_counted_exactly(spark):
     rows = [(i * 100 + j, f"line {i}", f"site{j}") for i in range(60, 140, 8) for j in range(i)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
