@@ -31,7 +31,7 @@ def op1_suffix_array_dedup(spark, sf_dir):
 
 @query
 def op9_token_counts(spark, sf_dir):
-    counted, out = with_token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), load_vocabulary(VOCABULARY))
+    counted, out = with_token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), load_vocabulary(VOCABULARY), whole=True)
     return counted.select("doc_id", f"{out}.*")
 
 

@@ -4,8 +4,12 @@ Method: an Aho-Corasick automaton over the vocabulary lists every piece that end
 carries the best score and its piece count. Tie rules of unigram tokenizers: a later candidate replaces the best
 one only with a strictly greater score, and candidates come by ascending start, so of equal scores the one with
 the longest last piece stays. A character that is no piece on its own may be unknown, at the smallest vocabulary
-score less 10; with byte fallback it counts as many pieces as it has UTF-8 bytes. A word is searched with the word mark in front, as its
-pieces never cross words. Words are ``[^\\x20\\x09-\\x0D]+``; equal words of a slice are segmented once.
+score less 10; with byte fallback it counts as many pieces as it has UTF-8 bytes.
+
+With ``whole`` every character of a text counts: a word mark stands in front of the text and for each blank, and line
+feeds and tabs are pieces or bytes. The text is cut where no piece of the vocabulary holds the two neighbouring bytes
+side by side, so no piece crosses a cut and the best segmentation is that of the parts. Without it only the words are counted,
+each with a word mark in front. Words are ``[^\\x20\\x09-\\x0D]+``; equal words or parts are segmented once.
 
 The vocabulary (pieces and scores of a SentencePiece model file, a parameter) is broadcast: its size is that of
 the file. Cases: null or empty text has no words, no tokens and score 0; null ids, repeated rows and extra
@@ -46,10 +50,14 @@ class Counter:
         self.single = {p for p, _ in vocabulary if len(p) == 1}
         self.unknown = min((s for _, s in vocabulary), default=0.0) - UNKNOWN_PENALTY
         self.byte_fallback = byte_fallback
-        self.known: dict[int, tuple[float, int]] = {}
+        self.known: dict[int, tuple[float, int]] = {}  # of words, or of parts: a counter is used for one of them
+        self.joined = _joined(vocabulary)
 
     def count(self, word: str) -> tuple[float, int]:
-        word = MARK + word
+        """Of a word, with a word mark in front."""
+        return self.segment(MARK + word)
+
+    def segment(self, word: str) -> tuple[float, int]:
         best, pieces = [0.0], [0]
         found = iter(self.automaton.iter(word) if len(self.automaton) else ())
         end, piece = next(found, (-1, None))
@@ -69,9 +77,12 @@ class Counter:
             pieces.append(n)
         return best[-1], pieces[-1]
 
-    def rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def rows(self, data: np.ndarray, offsets: np.ndarray, whole: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(n_words, n_tokens, score) of every row of a slice."""
         starts, ends, first = word_spans(data, offsets)
+        n_words = np.diff(first)
+        if whole:
+            data, starts, ends, first = self.parts(data, offsets)
         distinct, at, which = np.unique(word_hash(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
@@ -80,16 +91,42 @@ class Counter:
         for key, a, b in zip(distinct.tolist(), starts[at].tolist(), ends[at].tolist()):
             found = self.known.get(key)
             if found is None:
-                found = self.known[key] = self.count(raw[a:b].decode())
+                part = raw[a:b].decode()
+                found = self.known[key] = self.segment(part.replace(" ", MARK)) if whole else self.count(part)
             out.append(found)
         table = np.array(out, float).reshape(-1, 2)
         row, n = rows_of(first), len(offsets) - 1
         score, tokens = (np.bincount(row, table[which, i], n) for i in (0, 1))
-        return np.diff(first), tokens.astype(np.int64), score
-
-
-def with_token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]], byte_fallback: bool = True) -> tuple[DataFrame, str]:
-    """``docs`` with one struct column (its name is returned): n_words, n_tokens and score."""
+        return n_words, tokens.astype(np.int64), score
+
+    def parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes with a blank before each row that is not empty, starts and ends of the parts, first part per row."""
+        filled = np.diff(offsets) > 0
+        marked = np.insert(data[:offsets[-1]], offsets[:-1][filled], 32)
+        at = offsets + np.append(0, np.cumsum(filled))
+        cut = np.ones(len(marked), bool)
+        cut[1:] = ~self.joined[marked[:-1], marked[1:]]
+        cut[at[:-1][filled]] = True
+        starts = np.flatnonzero(cut)
+        return marked, starts, np.append(starts[1:], len(marked))[:len(starts)], np.searchsorted(starts, at)
+
+
+def _joined(vocabulary: list[tuple[str, float]]) -> np.ndarray:
+    """Table of the byte pairs that stand side by side in a piece, a blank for the word mark; characters are never cut."""
+    joined = np.zeros((256, 256), bool)
+    for piece, _ in vocabulary:
+        b = np.frombuffer(piece.replace(MARK, " ").encode(), np.uint8)
+        joined[b[:-1], b[1:]] = True
+    mark = MARK.encode()  # as a character of the text it is the same symbol as a blank
+    joined[mark[-1]] |= joined[32]
+    joined[:, mark[0]] |= joined[:, 32]
+    joined[:, 0x80:0xC0] = True
+    return joined
+
+
+def with_token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]], byte_fallback: bool = True,
+                      whole: bool = False) -> tuple[DataFrame, str]:
+    """``docs`` with one struct column (its name is returned): n_words, n_tokens and score of the whole texts or of their words."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # as large as the vocabulary file
     held: list[Counter] = []
 
@@ -97,7 +134,7 @@ def with_token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]], byte
         if not held:
             held.append(Counter(shared.value, byte_fallback))
         data, off = utf8(text)
-        parts = [held[0].rows(data[off[a]:off[b]], off[a:b + 1] - off[a]) for a, b in slices(off)]
+        parts = [held[0].rows(data[off[a]:off[b]], off[a:b + 1] - off[a], whole) for a, b in slices(off)]
         kinds = (pa.int64(), pa.int64(), pa.float64())
         columns = [pa.array(np.concatenate([p[i] for p in parts]) if parts else [], k) for i, k in enumerate(kinds)]
         return pa.StructArray.from_arrays(columns, ["n_words", "n_tokens", "score"])

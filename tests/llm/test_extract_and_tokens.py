@@ -107,3 +107,32 @@ def test_count_rows(spark):
     assert got == sorted([("1", 0, 0, 0.0), ("2", 0, 0, 0.0), ("3", 3, 3, -4.5), ("3", 3, 3, -4.5), ("None", 2, 5, -25.0)])
     assert token_counts.with_token_counts(docs.limit(0), [])[0].count() == 0
     assert re.fullmatch(r"\W", token_counts.MARK)
+
+
+def test_whole_texts_equal_the_library(spark):
+    from shelfwise.llm import queries
+    vocabulary = token_counts.load_vocabulary(VOCABULARY)
+    tokenizer = library(vocabulary)
+    want = lambda t: len(tokenizer.encode(token_counts.MARK + t.replace(" ", token_counts.MARK), add_special_tokens=False).ids) if t else 0
+    texts = ["a\nb", "a\n\nb", "a\tb", "a  b", " a", "a ", "\na", "  ", "\n", "a\r\n\tb", "▁a▁ ▁b\n▁", "x" + " " * 40 + "y", "naïve ☃\u3000☃ 你好\n你", "a.\x0b\x0cB", "", None]
+    texts += brute.texts(8, 12)
+    rows = list(enumerate(texts))
+    counted, out = token_counts.with_token_counts(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary, whole=True)
+    got = {r.doc_id: r[out].n_tokens for r in counted.collect()}
+    assert got == {d: want(t or "") for d, t in rows}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r.n_tokens for r in queries.op9_token_counts(spark, SF).collect()}
+    assert got == {r.doc_id: want(r.text or "") for r in docs}
+
+
+def test_pieces_that_cross_blanks_and_line_feeds():
+    import itertools
+    pieces = [("▁", -1.0), ("a", -1.0), ("a▁", -1.5), ("▁a", -1.25), ("\na", -2.0), ("a▁a", -2.5), ("b", -1.0)]
+    counter = token_counts.Counter(pieces)
+    from tokenizers import Tokenizer, models
+    tokenizer = Tokenizer(models.Unigram([("<unk>", 0.0)] + pieces + [(f"<0x{b:02X}>", 0.0) for b in range(256)], 0, True))
+    texts = ["".join(t) for n in range(7) for t in itertools.product("a \nb" if n < 6 else "a ", repeat=n)]
+    raw = [t.encode() for t in texts]
+    data, off = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(t) for t in raw]))
+    got = counter.rows(data, off, whole=True)[1].tolist()
+    assert got == [len(tokenizer.encode("▁" + t.replace(" ", "▁"), add_special_tokens=False).ids) if t else 0 for t in texts]
