@@ -7,9 +7,14 @@ repeated window; those are cut out of the texts and dealt by anchor, so that eve
 meets in one block. An engine then indexes the block and says which windows of each distinct segment,
 at its first place, stay; at all its later places every window is a repeat.
 
+An anchor with very many different segments (a frequent line shorter than a window) would make a block without bound.
+Such hot anchors are found on a sample, and their windows are dealt by the smallest of longer grams instead, those of
+grams that are hot again by the whole window. Only the content of a window decides, so equal windows still meet.
+
 Shuffles: 1. (anchor, place) of every segment, about one per (L - k + 2) / 2 symbols; 2. the packed texts
 joined to their repeated segments; 3. the repeated segments, copies of one task merged beforehand;
-4. the packed texts joined to the verdicts. No side is broadcast by this module and nothing is collected.
+4. the packed texts joined to the verdicts. Only the hot anchors are collected and broadcast, 8 bytes each; there is at most
+one per level for every SAMPLE * HOT segments of the corpus.
 
 A place is (doc_id, hash of the text, offset); null ids come last. Rows that repeat both the id and the
 text are one document: each gets the same result, and none is a repeat of the other.
@@ -24,13 +29,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import gram_hash, ship, slices, sliding_min, spread, utf8
+from shelfwise.llm.common import gram_hash, prefix_hash, ship, slices, sliding_min, span_hash, spread, utf8
 from shelfwise.llm.tables import written
 
 MAX_RUN = 256  # windows that one segment can hold
 PLACE_BITS = (1 << 28) - 1  # low bits of a ranked gram tell where it stands
 NULL_ID = np.iinfo(np.int64).max
 BLOCK_BYTES = 1 << 19  # an engine gets whole anchors of about this size at a time; small blocks sort in cache
+SAMPLE = 128  # one of so many chunks of the texts is searched for hot anchors
+SAMPLE_BYTES = 1 << 16  # of a chunk; a shorter text is one chunk
+HOT = 32  # different segments of an anchor in the sample from which it is hot: about BLOCK_BYTES in the corpus
 
 DOC = "did long, h long, z binary"
 PLACE = "anchor long, did long, h long, pack long"
@@ -57,10 +65,17 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.hash(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("h"), F.col("text").alias("text"))
 
 
-def segments_of(symbols: np.ndarray, first: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
+def gram_sizes(length: int, k: int) -> list[int]:
+    """Symbols of the anchors by level: the first, those of hot first ones, and the whole window, which need not be split."""
+    return [k, (k + length + 1) // 2, length]
+
+
+def segments_of(symbols: np.ndarray, first: np.ndarray, length: int, k: int,
+                hot: list[tuple[int, np.ndarray]] | None = None) -> tuple[np.ndarray, ...]:
     """Segments of the rows whose symbols stand one after the other: (row, offset in the row, run, anchor).
 
     The leftmost smallest gram decides, so equal windows that overlap (periodic texts) are in segments of their own.
+    ``hot`` has per level the sorted hot anchors and the symbols of the grams that their windows get instead.
     """
     grams = gram_hash(symbols, k)
     starts = spread(first[:-1], np.maximum(np.diff(first) - length + 1, 0))
@@ -74,18 +89,53 @@ def segments_of(symbols: np.ndarray, first: np.ndarray, length: int, k: int) ->
     run = np.diff(np.append(at, len(starts)))
     anchor = grams[(ranked[at] & np.uint64(PLACE_BITS)).astype(np.int64)]
     row = np.searchsorted(first, starts[at], "right") - 1
-    return row, starts[at] - first[row], run, anchor
+    offset = starts[at] - first[row]
+    if not hot or not (split := np.isin(anchor, hot[0][1])).any():
+        return row, offset, run, anchor
+    size = run[split] + length - 1
+    sub = segments_of(symbols[spread(starts[at][split], size)], np.append(0, np.cumsum(size)), length, hot[0][0], hot[1:])
+    parts = (row[split][sub[0]], offset[split][sub[0]] + sub[1], *sub[2:])
+    return tuple(np.concatenate([whole[~split], part]) for whole, part in zip((row, offset, run, anchor), parts))
+
+
+def hot_anchors(docs: DataFrame, symbols: Callable, length: int, k: int) -> list[tuple[int, np.ndarray]]:
+    """Per level the symbols of the next level's grams and the sorted anchors with HOT or more different segments in a sample."""
+    sizes = gram_sizes(length, k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = utf8(batch.column(0))
+            for i, begin in enumerate(batch.column(1).to_pylist()):
+                text = data[off[i]:off[i + 1]]
+                for a in range(begin * SAMPLE_BYTES, len(text), SAMPLE * SAMPLE_BYTES):
+                    chunk = text[a:a + SAMPLE_BYTES]
+                    sym, first = symbols(chunk, np.array([0, len(chunk)]))
+                    prefix = prefix_hash(sym)
+                    for level, size in enumerate(sizes[:-1]):
+                        _, at, n, anchor = segments_of(sym, first, length, size)
+                        if len(at):
+                            seg = span_hash(prefix, at, at + n + length - 1)
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), level)), pa.array(anchor.view(np.int64)),
+                                                              pa.array(seg.view(np.int64))], ["level", "anchor", "seg"])
+    begin = F.pmod(F.xxhash64("did", "h"), F.lit(SAMPLE))
+    sample = keyed(docs).select("text", begin.alias("begin")).filter(F.col("begin") * SAMPLE_BYTES < F.octet_length("text"))
+    found = sample.mapInArrow(run, "level long, anchor long, seg long").distinct().groupBy("level", "anchor").count()
+    rows = found.filter(F.col("count") >= HOT).select("level", "anchor").collect()
+    return [(sizes[level + 1], np.sort(np.array([r.anchor for r in rows if r.level == level], np.int64).view(np.uint64)))
+            for level in range(len(sizes) - 1)]
 
 
 def places(docs: DataFrame, symbols: Callable, length: int, k: int) -> DataFrame:
     """One row per segment of the corpus; ``symbols(data, offsets)`` gives a slice's symbols and first indices."""
+    hot = docs.sparkSession.sparkContext.broadcast(hot_anchors(docs, symbols, length, k))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = utf8(batch.column(2))
             did, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, b in slices(off):
                 sym, first = symbols(data[off[a]:off[b]], off[a:b + 1] - off[a])
-                row, at, n, anchor = segments_of(sym, first, length, k)
+                row, at, n, anchor = segments_of(sym, first, length, k, hot.value)
                 if len(row):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(anchor.view(np.int64)), pa.array(did[a + row]), pa.array(h[a + row]),
@@ -161,14 +211,7 @@ def judge(segments: DataFrame, engine: Callable) -> DataFrame:
     places, how many places each has, and the place rows; it returns (segment index, from, to) of windows
     that stay. Blocks hold whole anchors, so equal windows are always in one block.
     """
-    def block(rows: list[tuple]) -> pa.RecordBatch:
-        best: dict[tuple[int, bytes], list] = {}
-        for anchor, did, h, pack, copies, seg in rows:
-            if (old := best.get((anchor, seg))) is None:
-                best[anchor, seg] = [(did, h, pack), copies]
-            else:
-                old[1] += copies if old[0] != (did, h, pack) else 0
-                old[0] = min(old[0], (did, h, pack))
+    def block(best: dict[tuple[int, bytes], list]) -> pa.RecordBatch:
         order = sorted(best.items(), key=lambda x: x[1][0])
         seg, low, high = engine([k[1] for k, _ in order], np.array([v[1] for _, v in order]),
                                 np.array([v[0][2] % MAX_RUN + 1 for _, v in order]))
@@ -179,18 +222,22 @@ def judge(segments: DataFrame, engine: Callable) -> DataFrame:
                                           ["did", "h", "starts", "ends"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
+        best: dict[tuple[int, bytes], list] = {}  # copies are merged as they come, so a block holds different segments only
         size, last = 0, None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if size > BLOCK_BYTES and row[0] != last:
-                    yield block(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[5])
-                last = row[0]
-        if rows:
-            yield block(rows)
+            for anchor, did, h, pack, copies, seg in zip(*(c.to_pylist() for c in batch.columns)):
+                if size > BLOCK_BYTES and anchor != last:
+                    yield block(best)
+                    best, size = {}, 0
+                if (old := best.get((anchor, seg))) is None:
+                    best[anchor, seg] = [(did, h, pack), copies]
+                    size += len(seg)
+                else:
+                    old[1] += copies if old[0] != (did, h, pack) else 0
+                    old[0] = min(old[0], (did, h, pack))
+                last = anchor
+        if best:
+            yield block(best)
     return segments.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, KEPT)
 
 

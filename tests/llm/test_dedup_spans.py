@@ -1,7 +1,9 @@
 """Byte and word span dedup against brute force, and their odd cases."""
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from shelfwise.llm import segments
 from shelfwise.llm.substring_dedup import remove_shared_passages
 from shelfwise.llm.suffix_dedup import RunLengthIndex, remove_repeats
 from tests.llm import brute
@@ -46,3 +48,33 @@ def test_index_is_run_compressed():
     strings = [bytes(np.random.default_rng(3).integers(97, 123, 130, dtype=np.uint8))] * 50
     index = RunLengthIndex(strings, 100)
     assert len(index.run_start) < index.size / 10 and len(index.sample) == len(index.run_start)
+
+
+def hot_rows(size):
+    """A line shorter than a window in many texts, most with neighbours of their own, some with common ones."""
+    r = np.random.default_rng(6)
+    words = lambda n: " ".join("".join(map(chr, r.integers(97, 123, 6))) for _ in range(n))
+    line, common = words(size), words(40)
+    own = [f"{words(40)} {line} {words(40)}" for _ in range(120)]
+    own += [f"{words(40)} {line} {common}" for _ in range(20)]
+    own += [words(40) + "".join(f" {line} {words(12)}" for _ in range(40))]  # many of them in one text
+    return [*enumerate(own), (500, own[3]), (501, own[130] + " end")]
+
+
+@pytest.mark.parametrize("level", [1, 2])
+@pytest.mark.parametrize("op, brute_force, length, k", [(remove_repeats, brute.byte_dedup, 100, 24), (remove_shared_passages, brute.word_dedup, 35, 8)])
+def test_hot_anchors_are_split(spark, monkeypatch, op, brute_force, length, k, level):
+    rows, engines = hot_rows(9 if k == 24 else 20), []
+    if level == 2:  # grams of the second level that are as short, so that they are hot too
+        monkeypatch.setattr(segments, "gram_sizes", lambda length, k: [k, k + 1, length])
+    monkeypatch.setattr(segments, "SAMPLE", 1)
+    judge = segments.judge
+
+    def watched(found, engine):
+        engines.append(found.groupBy("anchor").agg(F.count_distinct("seg").alias("n")).agg(F.max("n")).first()[0])
+        return judge(found, engine)
+    monkeypatch.setattr(segments, "judge", watched)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) if k == 8 else (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op(df).collect()}
+    assert got == brute_force(rows)
+    assert engines[0] < 64  # over 100 in one block when hot anchors are not split
