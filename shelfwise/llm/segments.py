@@ -233,7 +233,8 @@ def judge(segments: DataFrame, engine: Callable) -> DataFrame:
                     best[anchor, seg] = [(did, h, pack), copies]
                     size += len(seg)
                 else:
-                    old[1] += copies if old[0] != (did, h, pack) else 0
+                    # merged rows may begin with the same place and still know of others: rows of one document come repeatedly
+                    old[1] = old[1] + copies if old[0] != (did, h, pack) else max(old[1], copies)
                     old[0] = min(old[0], (did, h, pack))
                 last = anchor
         if best:

@@ -78,3 +78,11 @@ def test_hot_anchors_are_split(spark, monkeypatch, op, brute_force, length, k, l
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) if k == 8 else (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op(df).collect()}
     assert got == brute_force(rows)
     assert engines[0] < 64  # over 100 in one block when hot anchors are not split
+
+
+@pytest.mark.parametrize("copies", [(1, 2), (2, 1), (1, 1)])
+def test_merged_copies_of_repeated_rows_count(spark, copies):
+    rows = [(5, 1, 1, 0, c, bytearray(b"one segment")) for c in copies]  # one first place, merged with another one or not
+    engine = lambda segs, copies, runs: tuple(np.full(1, x) for x in (0, 0, 1)) if copies[0] == 1 else (np.zeros(0, np.int64),) * 3
+    found = segments.judge(spark.createDataFrame(rows, segments.SEGMENT).coalesce(1), engine).collect()
+    assert len(found) == (max(copies) == 1)
