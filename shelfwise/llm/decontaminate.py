@@ -12,7 +12,7 @@ texts is searched by many pointers at once, each over its own short stretch of w
 
 The documents are never shuffled. The benchmark comes to the driver and to the tasks in blocks of at most
 ``block_bytes`` of item text (one longer item is a block); several blocks are searched one after the other in a
-chain of narrow steps, so its size has no limit in memory.
+chain of narrow steps. The driver and every task hold all blocks and their tables at once, so the benchmark must fit there.
 
 Cases: null or empty text has no words; items without words or null are ignored; equal windows of several items
 count for each; items with a null id mark words but are not listed; repeated items list once; without items
