@@ -10,8 +10,8 @@ holds those keys of the corpus's whole key universe that pass level 0 without be
 keys that pass level 1, and so on until a level has no false positives. A key is listed if the number of levels it
 passes in a row is odd. So look-ups in the corpus are exact. Allowed and blocked keys have a cascade each.
 
-The filters are literals of the plan. Their size follows the rule list and is checked against ``max_bits``; a larger list is
-looked up by an equi-join of the keys instead.
+The filters are literals of the plan. Level 0 follows the rule list, the other levels also the corpus's keys; each is checked
+against ``max_bits`` before it is built, and if one is larger the list is looked up by an equi-join of the keys instead.
 
 Cases: null and malformed URLs have empty host and path and fit no rule; repeated rules count once, of two
 verdicts for one key the later stands; without rules every verdict is the default; repeated rows and extra
@@ -77,11 +77,15 @@ class Level:
 class Cascade:
     """Levels that tell listed keys from all other keys of the universe."""
 
-    def __init__(self, listed: DataFrame, universe: DataFrame, max_levels: int = 32):
+    def __init__(self, listed: DataFrame, universe: DataFrame, max_levels: int = 32, max_bits: int = 1 << 23):
         self.levels: list[Level] = []
+        self.fits = True  # False: a level is larger than max_bits, and the cascade is of no use
         inside, outside = listed.select("key"), universe.join(listed, "key", "left_anti")
         count = inside.count()
         while count and len(self.levels) < max_levels:
+            if BITS_PER_KEY * count > max_bits:
+                self.fits = False
+                return
             level = Level(inside, count, len(self.levels))
             self.levels.append(level)
             # the other side's keys that pass are what the next level must hold
@@ -115,7 +119,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], default: str
     universe = written(pages.select(F.explode(F.array_distinct(asked)).alias("key")).distinct(), "url-keys")
     best = []
     for verdict in ("allow", "block"):
-        cascade = Cascade(listed.filter(F.col("verdict") == verdict), universe)
+        cascade = Cascade(listed.filter(F.col("verdict") == verdict), universe, max_bits=max_bits)
+        if not cascade.fits:
+            return _by_join(pages, asked, listed, default, out)
         best.append(_named(F.filter(F.col(keys), cascade.lists), verdict))
     longest = F.array_max(F.concat(*best))
     judged = pages.withColumn(keys, asked).withColumn(out, longest)

@@ -190,6 +190,18 @@ def test_cascade_is_exact_with_false_positives(spark):
 
 
 # ---- mixing
+def test_every_level_is_held_against_the_bound(spark, monkeypatch):
+    counts, level = [], url_filter.Level
+    monkeypatch.setattr(url_filter, "Level", lambda keys, count, number: counts.append(count) or level(keys, count, number))
+    pages = spark.range(20000).select(F.concat(F.lit("https://h"), "id", F.lit(".org/")).alias("url"))
+    rules = [("block", f"h{i}.org", "/") for i in range(5)]
+    judged, out = url_filter.judge(pages, rules, max_bits=64)  # five keys fit, their false positives do not
+    assert judged.filter(F.col(out)["verdict"] == "block").count() == 5 and judged.count() == 20000
+    assert all(url_filter.BITS_PER_KEY * n <= 64 for n in counts)
+    wide, out = url_filter.judge(pages, rules)
+    assert max(counts) > 5 and wide.exceptAll(judged).count() == 0
+
+
 def test_mixing(spark):
     r = random.Random(2)
     rows = [(i, "w " * r.randint(0, 60), r.choice("aaaaab") + str(i % 5)) for i in range(6000)]
