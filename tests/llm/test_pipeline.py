@@ -1,4 +1,8 @@
 """The pipeline: its stages chained, against the same decisions made by brute force, and without rows."""
+from collections import defaultdict
+
+import pytest
+
 import corpus_pipeline
 from shelfwise.llm import quality_rules
 from tests.conftest import SF
@@ -40,3 +44,72 @@ def test_no_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def line_dedup(rows, min_sites=8):
+    """rows: (doc_id, text, source)."""
+    sites = defaultdict(set)
+    core = lambda line: line.strip(" \t\n\x0b\x0c\r")
+    for _, text, source in rows:
+        for line in (text or "").split("\n"):
+            if source is not None:
+                sites[core(line)].add(source)
+    gone = lambda line: core(line) and len(sites[core(line)]) >= min_sites
+    out = []
+    for d, text, source in rows:
+        worded = [x for x in (text or "").split("\n") if core(x)]
+        if any(map(gone, worded)) and not all(map(gone, worded)):
+            text = "\n".join(x for x in text.split("\n") if not gone(x))
+        out.append((d, text, source))
+    return out
+
+
+def contaminated(text, items, width=10):
+    words = brute.BENCH_WORD.findall(brute.lower(text))
+    return any(tuple(words[i:i + n]) in found for n, found in items.items() for i in range(len(words) - n + 1))
+
+
+def targets(size, weights=(1, 2, 3), cap=3.0):
+    """Shares of the total by weight, none over ``cap`` times the source's size; what is over goes to the others."""
+    weight = {s: weights[i % 3] for i, s in enumerate(sorted(size, key=lambda s: (s is None, s or "")))}
+    full = set()
+    while True:
+        rest = [s for s in size if s not in full]
+        level = (sum(size.values()) - sum(cap * size[s] for s in full)) / max(sum(weight[s] for s in rest), 1)
+        more = {s for s in rest if level * weight[s] >= cap * size[s]}
+        if not more:
+            return {s: cap * size[s] if s in full else level * weight[s] for s in size}
+        full |= more
+
+
+def test_run_equals_a_brute_force_chain(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality_rules.fit(docs, labels)
+
+    def keeps(text):
+        count = dict(zip(quality_rules.COUNTS, brute.quality_counts(text)))
+        value = {f: 1000 * count[a] // max(count[b], 1) for f, (a, b) in quality_rules.FEATURES.items()}
+        rejected = any(all(value[c.feature] >= c.limit if c.above else value[c.feature] <= c.limit for c in rule) for rule in rules)
+        return count["n_words"] >= 20 and 100 * count["n_repeat_words"] <= 30 * count["n_words"] and not rejected
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect() if keeps(r.text)]
+    rows = line_dedup(rows)
+    groups = brute.jaccard_groups([r[:2] for r in rows])
+    rows = [r for r in rows if groups[r[0]][1] == r[0]]
+    items = defaultdict(set)
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        words = brute.BENCH_WORD.findall(brute.lower(r.text))
+        n = min(len(words), 10)
+        if n:
+            items[n] |= {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
+    rows = [r for r in rows if not contaminated(r[1], items)]
+    size = defaultdict(int)
+    for _, text, source in rows:
+        size[source] += len(brute.WORD.findall(text or ""))
+    mixed = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r.doc_id, r.source, r["size"]) for r in mixed) == sorted((d, s, len(brute.WORD.findall(t or ""))) for d, t, s in rows)
+    want, taken, largest = targets(size), defaultdict(int), defaultdict(int)
+    for r in mixed:
+        assert r.source_size == size[r.source] and r.target == pytest.approx(want[r.source]) and r.taken == r.copies * r["size"]
+        taken[r.source] += r.taken
+        largest[r.source] = max(largest[r.source], r["size"])
+    assert all(abs(taken[s] - want[s]) <= largest[s] + 1e-3 for s in size)
