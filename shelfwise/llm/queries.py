@@ -1,11 +1,12 @@
 """Registered queries of the training-data operators, over the whole tables."""
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontaminate, line_dedup, mixing, quality_rules, url_filter
+from shelfwise.llm import decontaminate, line_dedup, merkle, mixing, periodic_runs, quality_rules, secrets, url_filter
 from shelfwise.llm.html_extract import extract
 from shelfwise.llm.jaccard_join import near_duplicates
 from shelfwise.llm.substring_dedup import remove_shared_passages
@@ -84,3 +85,35 @@ ORACLE["op7_url_filter"] = url_filter.ORACLE
 @query
 def op8_source_mixing(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    docs, text = periodic_runs.with_planted_periods(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found, out = periodic_runs.with_runs(docs.select("doc_id", text), text)
+    runs, top = F.col(f"{out}.runs"), F.col("top")
+    found = found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), periodic_runs.longest(runs).alias("top"),
+                         F.sha2(periodic_runs.run_lines(runs), 256).alias("runs_sha256"),
+                         F.sha2(F.col(f"{out}.collapsed"), 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", (-top["back"]).alias("start"), top["length"].alias("length"), (-top["p"]).alias("period"),
+                        F.floor(1000 * top["length"] / -top["p"]).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@query
+def op12_secret_scan(spark, sf_dir):
+    found, out = secrets.with_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [kind for kind, *_ in secrets.BASE]
+    count = [F.size(secrets.of_kind(F.col(out), k)).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *count, F.sha2(secrets.joined(secrets.of_kind(F.col(out), *kinds)), 256).alias("base_sha256"),
+                        secrets.joined(F.col(out)).alias("spans"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return merkle.audit(docs.select(*merkle.COLUMNS), forged={"text": lowered}, where=tampered)
+
+
+ORACLE["op13_merkle_manifest"] = merkle.ORACLE
