@@ -5,10 +5,13 @@ one aggregation. Scores are exact integers ``sum(nano * rating)`` so ranking is
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.exprs import NANO, safe_divide
+from shelfwise.operators.inner_product import block_of, top_inner_products
 from shelfwise.operators.ranking import top_k_per_group
 
 
@@ -130,3 +133,68 @@ def attach_metadata(ranked: DataFrame, books: DataFrame, item_col: str = "book_i
                     cols=("title", "authors")) -> DataFrame:
     """Ranked ids joined to metadata; rank order is carried by the rank column."""
     return ranked.join(books.select(item_col, *cols), item_col, "inner")
+
+
+UNIT = 10_000  # feature values and cosine shares as integers
+FINE = 1_000  # parts of a unit in profile weights
+SIGNATURES, GRID = 512, 8  # blocks of books: slots of sparse features, cells a dense feature
+
+
+def _names(features: DataFrame, feature_col: str) -> list[str]:
+    """The feature names in order; their number follows the operators' parameters (top authors, categories, numeric columns)."""
+    return [r[0] for r in features.select(feature_col).distinct().orderBy(feature_col).collect()]
+
+
+def _dense(cells: DataFrame, key: str, names: list[str], value: str) -> DataFrame:
+    """(key, vector): the long rows of a key as one array over all ``names``, missing ones 0."""
+    found = cells.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("feature", value))).alias("m"))
+    every = F.array(*(F.lit(x) for x in names))
+    return found.select(key, F.transform(every, lambda x: F.coalesce(F.try_element_at("m", x), F.lit(0).cast("long"))).alias("vector"))
+
+
+def content_recommendations(interactions: DataFrame, features: DataFrame, n: int = 10, dense: Sequence[str] = (),
+                            user_col: str = "user_id", item_col: str = "book_id", rating_col: str = "rating") -> DataFrame:
+    """The n unrated books whose features are most like those of the books a user rated: user, item, score, sim, rank.
+
+    The profile (R12) is the rating-weighted mean of the rated books' features; a book's score is its cosine with it. Everything is
+    integer, so any engine gets the same order: values in ``UNIT``ths, profile weights in ``UNIT * FINE``ths, book shares
+    value / norm in ``UNIT``ths. The best books are found by bounds (``inner_product``): books of one block have the same sparse
+    features and are near in the ``dense`` ones (numeric features in 0..1, which every book may have). ``features`` is
+    (item, feature, value), unique, not negative. Users without a rated book with features have no profile and no row; books that share
+    nothing with a profile score 0 and fill its list; a profile of zeros has no ``sim``.
+    """
+    v = features.select(item_col, "feature", F.floor(F.col("value") * UNIT + 0.5).cast("long").alias("v"))
+    norms = v.groupBy(item_col).agg(F.sqrt(F.sum(F.col("v") * F.col("v")).cast("double")).alias("norm")).filter("norm > 0")
+    shares = v.join(norms, item_col).select(item_col, "feature", F.floor(
+        F.try_divide(F.col("v") * float(UNIT), F.col("norm")) + 0.5).cast("long").alias("c"))
+    names = _names(features, "feature")
+    books = _dense(shares, item_col, names, "c")
+    at = {x: i for i, x in enumerate(names)}
+    flags = F.transform("vector", lambda x, i: (x > 0) & ~i.isin([at[d] for d in dense if d in at]) if dense else x > 0)
+    grid = [F.floor(F.col("vector")[at[d]] * GRID / (UNIT + 1)) for d in dense if d in at]
+    books = books.withColumn("block", block_of(F.pmod(F.xxhash64(flags), F.lit(SIGNATURES)), *grid))
+    rated = interactions.select(user_col, item_col, F.col(rating_col).cast("long").alias("r")).dropna()
+    sums = rated.groupBy(user_col).agg(F.sum("r").alias("total"), F.count(F.lit(1)).alias("spare"))
+    weights = (rated.join(v, item_col).groupBy(user_col, "feature").agg(F.sum(F.col("r") * F.col("v")).alias("num"))
+               .join(sums, user_col).filter("total > 0")
+               .select(user_col, "feature", F.expr(f"num * {FINE} div nullif(total, 0)").alias("w")))
+    who = _dense(weights, user_col, names, "w").join(sums.select(user_col, "spare"), user_col)
+    length = weights.groupBy(user_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w")).cast("double")).alias("length"))
+    top = top_inner_products(who, books, rated, n, user_col, item_col)
+    sim = F.try_divide(F.col("score"), F.col("length") * float(UNIT))
+    return top.join(length, user_col).select(user_col, item_col, "score", F.round(sim, 6).alias("sim"), "rank")
+
+
+def hybrid(left: DataFrame, right: DataFrame, n: int = 10, weights: tuple[int, int] = (1, 1), user_col: str = "user_id",
+           item_col: str = "book_id", score_col: str = "score") -> DataFrame:
+    """Two score tables (user, item, positive integer score) in one: user, item, left_part, right_part, score, rank.
+
+    Each side's scores become millionths of the user's best on that side; an item or a user that one side does not know has 0
+    there. The weighted sum ranks, ties go to the smaller item.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        best = df.groupBy(user_col).agg(F.max(score_col).alias("best")).filter("best > 0")
+        return df.join(best, user_col).select(user_col, item_col, F.expr(f"{score_col} * 1000000L div nullif(best, 0)").alias(name))
+    both = side(left, "left_part").join(side(right, "right_part"), [user_col, item_col], "full_outer").na.fill(0, ["left_part", "right_part"])
+    both = both.withColumn("score", F.col("left_part") * weights[0] + F.col("right_part") * weights[1])
+    return top_k_per_group(both, [user_col], [F.col("score").desc(), F.col(item_col)], n)

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 from shelfwise.functions.exprs import dense_cosine
 from shelfwise.operators import encode as W
 from shelfwise.operators import evaluate as E
+from shelfwise.operators import factorize as FA
 from shelfwise.operators import joins as J
 from shelfwise.operators import recommend as R
 from shelfwise.operators import serve as SV
 from shelfwise.operators import similarity as S
 from shelfwise.operators.ranking import sample_keys, top_k_per_group
 from shelfwise.plans import views as V
+from shelfwise.plans.q_text import AUTH_SQL
 from shelfwise.plans.registry import (BOOKS_SQL, INTER_SQL, IR_SQL, SPLIT_SQL, VALID_SQL, cosine_sql, query, recs_sql,
                                       topk_sql)
 
@@ -408,3 +410,65 @@ def x03_coverage(spark, d):
     inter = V.interactions(spark, d)
     recs = R.recommend_for_users(inter, S.item_neighbors(inter, k=SCORE_K), n=10)
     return E.coverage(recs, V.books(spark, d)).withColumn("coverage", F.round("coverage", 6))
+
+
+# ---- content-based, hybrid and factor models ------------------------------------------------------
+DENSE = ("price", "size")
+LIST = 50  # items of each list that a hybrid mixes
+
+CONTENT_SQL = f"""{INTER_SQL}, {AUTH_SQL},
+fv AS (SELECT book_id, feature, CAST(floor(value * 10000 + 0.5) AS BIGINT) AS v FROM feats),
+fn AS (SELECT book_id, sqrt(CAST(SUM(v * v) AS DOUBLE)) AS norm FROM fv GROUP BY 1 HAVING SUM(v * v) > 0),
+fc AS (SELECT fv.book_id, fv.feature, CAST(floor(fv.v * CAST(10000 AS DOUBLE) / fn.norm + 0.5) AS BIGINT) AS c
+       FROM fv JOIN fn ON fv.book_id = fn.book_id),
+ut AS (SELECT user_id, CAST(SUM(rating) AS BIGINT) AS total FROM interactions GROUP BY 1),
+uw AS (SELECT n.user_id, n.feature, n.num * 1000 // ut.total AS w FROM (
+         SELECT i.user_id, f.feature, CAST(SUM(i.rating * f.v) AS BIGINT) AS num
+         FROM interactions i JOIN fv f ON i.book_id = f.book_id GROUP BY 1, 2) n JOIN ut ON n.user_id = ut.user_id),
+ul AS (SELECT user_id, sqrt(CAST(SUM(w * w) AS DOUBLE)) AS length FROM uw GROUP BY 1),
+cs AS (SELECT uw.user_id, fc.book_id, CAST(SUM(uw.w * fc.c) AS BIGINT) AS score FROM uw JOIN fc ON uw.feature = fc.feature
+       WHERE NOT EXISTS (SELECT 1 FROM interactions r WHERE r.user_id = uw.user_id AND r.book_id = fc.book_id) GROUP BY 1, 2)"""
+
+
+def content_scores(spark, d, n):
+    from shelfwise.plans.q_text import book_features
+    from shelfwise.sources.sinks import write_table
+    features = write_table(book_features(spark, d), "book_features", spark)  # read for profiles, norms and books
+    return R.content_recommendations(V.interactions(spark, d), features, n, DENSE)
+
+
+@query("x01_content_recs", f"""WITH {CONTENT_SQL}, {topk_sql('cs', 'user_id', 'score DESC, book_id', 10, 'best')}
+SELECT best.user_id, best.book_id, best.score, round(best.score / (ul.length * 10000), 6) AS sim, best.rank
+FROM best JOIN ul ON best.user_id = ul.user_id""")
+def x01_content_recs(spark, d):
+    return content_scores(spark, d, 10)
+
+
+@query("x02_hybrid", f"""WITH {CONTENT_SQL}, {topk_sql('cs', 'user_id', 'score DESC, book_id', LIST, 'content')},
+ir2 AS (SELECT user_id, book_id, rating FROM interactions WHERE rating >= 4),
+{recs_sql('ir2', SCORE_K, LIST, 'recs')},
+l AS (SELECT user_id, book_id, score_nano * 1000000 // max(score_nano) OVER (PARTITION BY user_id) AS part FROM recs),
+r AS (SELECT user_id, book_id, score * 1000000 // max(score) OVER (PARTITION BY user_id) AS part FROM content),
+mixed AS (SELECT user_id, book_id, coalesce(l.part, 0) AS left_part, coalesce(r.part, 0) AS right_part,
+                 coalesce(l.part, 0) + coalesce(r.part, 0) AS score FROM l FULL OUTER JOIN r USING (user_id, book_id)),
+{topk_sql('mixed', 'user_id', 'score DESC, book_id', 10, 'best')}
+SELECT user_id, book_id, left_part, right_part, score, rank FROM best""")
+def x02_hybrid(spark, d):
+    """Collaborative lists from liked books (4 and 5 stars), content lists from all ratings: each side knows users of its own."""
+    liked = V.interactions(spark, d).filter(F.col("rating") >= 4)
+    collaborative = R.recommend_for_users(liked, S.item_neighbors(liked, k=SCORE_K), n=LIST)
+    return R.hybrid(collaborative.withColumn("score", F.col("score_nano")), content_scores(spark, d, LIST), 10)
+
+
+@query("x04_als")
+def x04_als(spark, d):
+    """Rows only: the factors are floating point sums, whose order no other engine repeats."""
+    inter = V.interactions(spark, d)
+    users, items, _ = FA.als(inter)
+    return FA.recommend(users, items, inter, 10)
+
+
+@query("x04_als_loss")
+def x04_als_loss(spark, d):
+    """Rows only: the loss after each round."""
+    return FA.als(V.interactions(spark, d))[2].withColumn("loss", F.round("loss", 3))
