@@ -1,4 +1,4 @@
-"""All-pairs similarity (J12, R02, R03, R07-R09): a sparse Gram product as a degree-split equi-join.
+"""All-pairs similarity (J12, R03, R07, R09; R02 and R08 are in ``nearest``): a sparse Gram product as a degree-split equi-join.
 
 The product G[i, j] = sum_r v[r, i] * v[r, j] joins the entries with themselves on the row. A row with more than
 ``sub_block`` entries is dealt into ``ceil(degree / sub_block)`` sub-blocks by column hash and joined sub-block pair by
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions.exprs import nano
+from shelfwise.operators.nearest import nearest
 from shelfwise.operators.ranking import top_k_per_group
 
 SUB_BLOCK = 512  # entries of one row that meet under one join key
@@ -109,6 +110,8 @@ def item_neighbors(interactions: DataFrame, k: int = 20, user_col: str = "user_i
 
 def user_neighbors(interactions: DataFrame, k: int, user_col: str = "user_id", item_col: str = "book_id",
                    rating_col: str = "rating", other_col: str = "other_user_id", **kw) -> DataFrame:
-    """User-user cosine neighbours (the same product with roles swapped)."""
-    sims = cosine_pairs(interactions, item_col, user_col, rating_col, user_col, other_col, **kw)
-    return top_k_per_group(sims, [user_col], [F.col("nano").desc(), F.col(other_col)], k)
+    """The k nearest users of every user by cosine (``nearest``): a book that many rated pairs them only as far as bounds ask.
+
+    Columns: user_col, other_col, dot, sim, nano, rank (1-based). Ties: nano desc, other id asc. Whole, not negative ratings.
+    """
+    return nearest(interactions, k, user_col, item_col, rating_col, other_col, **kw)

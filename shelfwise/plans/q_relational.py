@@ -191,7 +191,11 @@ def u04_u05_overlap(spark, d):
     nb = S.user_neighbors(inter, k=1)
     cnt = inter.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     cb = cnt.select(F.col("user_id").alias("other_user_id"), F.col("n").alias("nb"))
-    return (nb.join(cnt, "user_id").join(cb, "other_user_id")
+    read = inter.select("user_id", "book_id")
+    common = (nb.select("user_id", "other_user_id").join(read, "user_id")
+              .join(read.withColumnRenamed("user_id", "other_user_id"), ["other_user_id", "book_id"])
+              .groupBy("user_id", "other_user_id").agg(F.count(F.lit(1)).alias("n_common")))
+    return (common.join(cnt, "user_id").join(cb, "other_user_id")
             .select("user_id", "other_user_id", "n_common",
                     F.round(F.col("n_common") / (F.col("n") + F.col("nb") - F.col("n_common")), 6).alias("jaccard")))
 

@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import features as FT
 from shelfwise.operators import recommend as R
-from shelfwise.operators import similarity as S
 from shelfwise.operators import text as TX
-from shelfwise.operators.ranking import top_k_per_group
+from shelfwise.operators.nearest import nearest
 from shelfwise.plans import views as V
 from shelfwise.plans.registry import BOOKS_SQL, INTER_SQL, query
 
@@ -100,8 +99,7 @@ def r02_content_similarity(spark, d):
     w, _ = TX.tfidf(book_docs(spark, d), "book_id", "text", MIN_DF, MAX_DF)
     # weights in ten-thousandths: sums are exact in any order and, for unit vectors, at most about 1e8
     units = w.withColumn("w", F.round(F.col("weight") * 10_000).cast("long"))
-    both = S.mirror(S.cooccurrence(units, "term", "book_id", "w"), "book_id", "other_id", ["dot"])
-    top = top_k_per_group(both, ["book_id"], [F.col("dot").desc(), F.col("other_id")], 10)
+    top = nearest(units, 10, "book_id", "term", "w", "other_id", cosine=False)
     return top.select("book_id", "other_id", (F.col("dot") / F.lit(100_000_000.0)).alias("sim"), "rank")
 
 
