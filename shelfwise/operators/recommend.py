@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.exprs import NANO, safe_divide
-from shelfwise.operators.inner_product import block_of, top_inner_products
+from shelfwise.operators.inner_product import block_of, quantile_cells, top_inner_products
 from shelfwise.operators.ranking import top_k_per_group
 
 
@@ -137,7 +137,8 @@ def attach_metadata(ranked: DataFrame, books: DataFrame, item_col: str = "book_i
 
 UNIT = 10_000  # feature values and cosine shares as integers
 FINE = 1_000  # parts of a unit in profile weights
-SIGNATURES, GRID = 512, 8  # blocks of books: slots of sparse features, cells a dense feature
+SIGNATURES = 512  # slots of sparse features among the blocks of books
+GRID = (0.3, 0.55, 0.75, 0.86, 0.92, 0.96, 0.985)  # quantiles that cut a dense feature; high values decide, so they are cut finer
 
 
 def _names(features: DataFrame, feature_col: str) -> list[str]:
@@ -171,8 +172,14 @@ def content_recommendations(interactions: DataFrame, features: DataFrame, n: int
     books = _dense(shares, item_col, names, "c")
     at = {x: i for i, x in enumerate(names)}
     flags = F.transform("vector", lambda x, i: (x > 0) & ~i.isin([at[d] for d in dense if d in at]) if dense else x > 0)
-    grid = [F.floor(F.col("vector")[at[d]] * GRID / (UNIT + 1)) for d in dense if d in at]
-    books = books.withColumn("block", block_of(F.pmod(F.xxhash64(flags), F.lit(SIGNATURES)), *grid))
+    grid = quantile_cells(books, {at[d]: GRID for d in dense if d in at})
+    books = books.withColumn("flags", F.transform(flags, lambda x: x.cast("int")))
+    # the most frequent sparse feature sets have a slot each, all others share the last one
+    slots = books.groupBy("flags").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "flags").limit(SIGNATURES - 1)
+    slots = slots.agg(F.array_sort(F.collect_list("flags")).alias("known")).scalar()
+    slot = F.array_position(F.col("known"), F.col("flags"))
+    books = books.withColumn("known", slots).withColumn("block", block_of((F.when(slot > 0, slot - 1).otherwise(SIGNATURES - 1), SIGNATURES), *grid))
+    books = books.select(item_col, "vector", "block")
     rated = interactions.select(user_col, item_col, F.col(rating_col).cast("long").alias("r")).dropna()
     sums = rated.groupBy(user_col).agg(F.sum("r").alias("total"), F.count(F.lit(1)).alias("spare"))
     weights = (rated.join(v, item_col).groupBy(user_col, "feature").agg(F.sum(F.col("r") * F.col("v")).alias("num"))
