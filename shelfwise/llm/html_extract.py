@@ -24,18 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import ship
-from shelfwise.llm.html_blocks import Block, blocks
+from shelfwise.llm.html_blocks import WEIGHTS, Block, blocks, slot
 from shelfwise.llm.tables import append_column, free_name
 
-WEIGHTS = 1 << 13
 TRAINING_PAGES = 700
 EPOCHS = 6
 
 
-def _slot(name: str) -> int:
-    return zlib.crc32(name.encode()) % WEIGHTS
-
-
 def block_features(page: list[Block]) -> list[list[int]]:
     """Hashed features of every block of a page."""
     out = []
@@ -47,13 +42,8 @@ def block_features(page: list[Block]) -> list[list[int]]:
                  f"links:{round(4 * b.linked / max(size - words + 1, 1))}", f"end:{b.text[-1] if not b.text[-1].isalnum() else 'w'}",
                  f"start:{'A' if b.text[0].isupper() else 'a' if b.text[0].isalpha() else b.text[0]}",
                  "first" if i < 2 else "inner", "last" if i >= n - 2 else "inner2"]
-        for depth, (tag, marks) in enumerate(reversed(b.path)):
-            names.append(f"in:{tag}")
-            if depth == 0:
-                names.append(f"at:{tag}")
-                names.append(f"at:{tag}:{min(words.bit_length(), 8)}")
-            names.extend(f"mark:{m}" for m in marks if len(m) > 1)
-        out.append(list(dict.fromkeys(map(_slot, names))))
+        names += [f"at:{b.near}", f"at:{b.near}:{min(words.bit_length(), 8)}"] if b.near else []
+        out.append(list(dict.fromkeys([*map(slot, names), *b.around])))
     return out
 
 

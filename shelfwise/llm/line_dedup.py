@@ -3,9 +3,8 @@
 Method: every non-blank line (trimmed, split at line feeds) is keyed by its hash and site. One HyperLogLog sketch of the sites
 per line hash is merged by aggregation. A line whose estimate is clear of ``min_sites`` by more than ``band`` is
 decided by the sketch; lines nearer to it get an exact distinct count. Boilerplate lines are then removed from all
-texts. With ``max_share`` None only a text whose non-blank lines are all boilerplate stays whole: it may be a copy,
-and copies are for near-duplicate operators. With a number (as ORACLE has it) every text that would lose more than
-that share of its non-blank lines stays whole, also short pages that are no copies.
+texts. Only a text whose non-blank lines are all boilerplate stays whole: it may be a copy, and copies are for near-duplicate
+operators. With a number for ``max_share`` every text that would lose more than that share of its non-blank lines stays whole.
 
 Cases: null text stays null, blank lines always stay; a null site is no site; repeated rows count once, since
 sites are counted; equal texts are treated alike; an empty table gives an empty result; extra columns pass through.
@@ -57,7 +56,7 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = 8, band:
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = 8, band: float = 0.25,
-                       max_share: float | None = 0.5) -> tuple[DataFrame, str]:
+                       max_share: float | None = None) -> tuple[DataFrame, str]:
     """``docs`` with the shortened text and one struct column (its name is returned): n_lines and n_removed."""
     key, gone, out = (free_name(docs, n) for n in ("text_key", "gone_lines", "line_dedup"))
     text = F.col("text")
@@ -98,7 +97,7 @@ per AS (SELECT doc_id, text, count(*) FILTER (worded) AS n_lines, count(*) FILTE
                string_agg(line, chr(10) ORDER BY pos) FILTER (NOT cross_site) AS short
         FROM marked GROUP BY doc_id, text)
 SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_cross_site, 0) AS BIGINT) AS n_cross_site,
-       CAST(CASE WHEN n_cross_site <= 0.5 * n_lines THEN n_cross_site ELSE 0 END AS BIGINT) AS n_removed,
-       CASE WHEN d.text IS NULL THEN NULL WHEN n_cross_site > 0 AND n_cross_site <= 0.5 * n_lines
+       CAST(CASE WHEN n_cross_site < n_lines THEN n_cross_site ELSE 0 END AS BIGINT) AS n_removed,
+       CASE WHEN d.text IS NULL THEN NULL WHEN n_cross_site > 0 AND n_cross_site < n_lines
             THEN md5(coalesce(short, '')) ELSE md5(d.text) END AS kept_md5
 FROM documents d LEFT JOIN per p ON d.doc_id = p.doc_id AND d.text = p.text"""

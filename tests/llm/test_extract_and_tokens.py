@@ -1,5 +1,7 @@
 """HTML extraction (held-out accuracy, odd markup) and token counts (against the tokenizer library and brute force)."""
+import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -60,6 +62,33 @@ def test_blocks_of_odd_markup():
     assert len(text("<div>" * 3000 + "deep" + "</div>" * 10)) == 1
 
 
+def test_no_markup_fails(field):
+    r = random.Random(7)
+    bits = ["<", "<!", "<![", "]", "]]>", ">", "<!--", "--", "/", "<svg", "<p>", "</p>", "<script", "</script", "<select>", "<a href='", '"', "=", "&", "&#",
+            "x;", " ", "foo", "CDATA[", "<?", "<textarea>", "</", "\n", "é", "<div class=", "<noscript>", "<template>", "</svg>", "\x00"]
+    for _ in range(10_000):
+        blocks("".join(r.choice(bits) for _ in range(r.randint(1, 14))))
+    assert html_extract.page_text("<article><p>Some words of it.<![foo[ x ]]><p>More of it.<![ x></article>", field) is not None
+
+
+def test_unclosed_silent_elements_hide_nothing():
+    text = lambda h: [b.text for b in blocks(h)]
+    for tag in ("svg", "math", "noscript", "select", "textarea", "iframe", "object", "canvas", "template", "video", "datalist"):
+        assert text(f"<{tag}><p>kept</p> tail") == ["kept", "tail"], tag
+        assert text(f"a<{tag}>gone</{tag}>b") == ["a", "b"], tag
+    assert text("<svg><p>kept</p><svg><path/></svg><p>too") == ["kept", "too"]
+    assert text("<select><option>gone<p>kept</p><select><option>gone</select>end") == ["kept", "end"]
+    assert text("<SVG><foreignObject><p>gone</p></foreignObject></SVG>kept") == ["kept"]
+    assert text("kept<script>gone <p>gone") == ["kept"]
+
+
+def test_deep_nesting_is_linear(field):
+    begin = time.process_time()
+    assert len(blocks("<div class='a b'>x" * 40_000)) == 40_000
+    html_extract.page_text("<div>x" * 40_000 + "</b>" * 40_000 + "<b>" * 40_000, field)
+    assert time.process_time() - begin < 12
+
+
 def test_extract_odd_rows(spark, field):
     long = "word " * 200_000
     rows = [(1, "u", None), (None, None, ""), (2, "u", f"<article><p>{long}.</p></article>"), (2, "u", f"<article><p>{long}.</p></article>")]
