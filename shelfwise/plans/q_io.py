@@ -214,19 +214,33 @@ def k08_request_results(spark, d):
     return t.filter(F.col("run") == "r1").select("user_id", "book_id", "score_nano", "score", "rank", "run")
 
 
-@query("k09_test_report")
+@query("k09_test_report", f"""WITH {INTER_SQL},
+su AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM interactions) t
+       ORDER BY md5(concat_ws('|', '42', CAST(user_id AS VARCHAR))), user_id LIMIT 5),
+{recs_sql('interactions', 19, 5, 'recs', users='su')},
+pu AS (SELECT user_id, list({{'rank': rank, 'book_id': book_id}} ORDER BY rank) AS items, COUNT(*) AS n FROM recs GROUP BY 1),
+pairs AS (SELECT a.user_id AS ua, b.user_id AS ub FROM su a JOIN su b ON a.user_id < b.user_id),
+common AS (SELECT p.ua, p.ub, COUNT(*) AS c FROM pairs p JOIN recs ra ON ra.user_id = p.ua
+           JOIN recs rb ON rb.user_id = p.ub AND ra.book_id = rb.book_id GROUP BY 1, 2),
+jac AS (SELECT coalesce(c, 0) / (x.n + y.n - coalesce(c, 0)) AS j FROM pairs p JOIN pu x ON x.user_id = p.ua JOIN pu y ON y.user_id = p.ub
+        LEFT JOIN common ON common.ua = p.ua AND common.ub = p.ub)
+SELECT CAST(to_json({{'user_results': (SELECT list({{'user_id': user_id, 'items': items}} ORDER BY user_id) FROM pu),
+                     'summary': {{'mean_jaccard_millionths': (SELECT CAST(floor(avg(j) * 1000000 + 0.5) AS BIGINT) FROM jac),
+                                  'n_users': (SELECT COUNT(*) FROM pu)}}}}) AS VARCHAR) AS report""")
 def k09_test_report(spark, d):
-    """K09 (rows only): nested JSON report (sampled users' lists + summary) written and read back."""
+    """Nested JSON report (sampled users' lists + summary) written, read back and shown in canonical form."""
     inter = V.interactions(spark, d)
     users = sample_keys(inter, "user_id", 5, 42)
     recs = R.recommend_for_users(inter.join(users, "user_id", "left_semi"), S.item_neighbors(inter, k=19), n=5)
     per_user = recs.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "book_id"))).alias("items"))
     ov = E.list_overlap(recs, users, n=5)
     report = spark.range(1).select(
-        per_user.select(F.collect_list(F.struct("user_id", "items"))).scalar().alias("user_results"),
-        F.struct(ov.select(F.avg("jaccard")).scalar().alias("mean_jaccard"),
+        per_user.select(F.array_sort(F.collect_list(F.struct("user_id", "items")))).scalar().alias("user_results"),  # five users
+        F.struct(ov.select(F.floor(F.avg("jaccard") * 1_000_000 + 0.5)).scalar().alias("mean_jaccard_millionths"),
                  per_user.select(F.count(F.lit(1))).scalar().alias("n_users")).alias("summary"))
-    return write_table(report, "test_report", spark, fmt="json")
+    path = scratch_path(spark, "test_report")
+    report.write.json(path)
+    return spark.read.schema(report.schema).json(path).select(F.to_json(F.struct("user_results", "summary")).alias("report"))
 
 
 @query("r15_metadata", f"""WITH {INTER_SQL}, {BOOKS_SQL}, {DIRTY_BOOKS_SQL}, {CLEAN_BOOKS_SQL},
