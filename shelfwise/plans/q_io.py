@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from shelfwise.operators import encode as W
 from shelfwise.operators import evaluate as E
+from shelfwise.operators import features as FT
 from shelfwise.operators import recommend as R
 from shelfwise.operators import similarity as S
 from shelfwise.operators import text as TX
@@ -16,10 +17,10 @@ from shelfwise.plans.q_text import MAX_DF, MIN_DF, book_docs, tfidf_sql, BOOK_TE
 from shelfwise.plans.q_clean import CLEAN_BOOKS_SQL
 from shelfwise.plans.registry import (BOOKS_SQL, DIRTY_BOOKS_SQL, INTER_SQL, SPLIT_SQL, cosine_sql, query,
                                       recs_sql, topk_sql)
-from shelfwise.schemas import PAYLOAD, RATINGS
+from shelfwise.schemas import BOOKS, PAYLOAD, RATINGS
 from shelfwise.session import scratch_path
 from shelfwise.sources import readers as RD
-from shelfwise.sources.sinks import write_table
+from shelfwise.sources.sinks import write_bucketed, write_table
 
 BOOK_DIM = T.StructType([
     T.StructField("book_id", T.LongType()), T.StructField("title", T.StringType()),
@@ -35,6 +36,39 @@ def s01_scan_books(spark, d):
     return RD.read_table(spark, path, BOOK_DIM, "csv")
 
 
+def book_lines(spark, d):
+    """CSV lines of the 25-column books table; every 37th is cut short and every 41st is no record at all."""
+    b = V.table(spark, d, "part").select(
+        F.col("p_partkey").alias("book_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("authors"), F.col("p_type").alias("genres"),
+        (1 + (F.col("p_retailprice") % 400) / 100).alias("average_rating"), (F.col("p_size") * 37).cast("long").alias("ratings_count"))
+    rows = FT.rating_histogram(b).join(FT.templated_fields(b), "book_id")
+    k = F.col("book_id")
+    rows = rows.select(
+        *(k.alias(c) for c in ("id", "book_id", "best_book_id", "work_id")), F.lit(1).cast("long").alias("books_count"),
+        F.lpad(k.cast("string"), 10, "0").alias("isbn"), F.concat(F.lit("978"), F.lpad(k.cast("string"), 10, "0")).alias("isbn13"), "authors",
+        F.lit(None).cast("double").alias("original_publication_year"), F.col("title").alias("original_title"), "title",
+        F.lit("eng").alias("language_code"), "average_rating", "ratings_count", F.col("ratings_count").alias("work_ratings_count"),
+        "work_text_reviews_count", *(f"ratings_{i}" for i in range(1, 6)), "image_url", "small_image_url", "genres", "description")
+    line = F.to_csv(F.struct(*BOOKS.fieldNames()))
+    return rows.select(F.when(k % 37 == 0, F.concat_ws(",", k, k, F.lit("oops"))).when(
+        k % 41 == 0, F.concat(F.lit("x"), k)).otherwise(line).alias("value"))
+
+
+@query("s01_books_quarantine", """SELECT p_partkey AS book_id, '978' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS isbn13, p_name AS title,
+  p_brand AS authors, round(1 + (p_retailprice % 400) / 100, 6) AS average_rating, CAST(p_size * 37 AS BIGINT) AS ratings_count,
+  'This is a fictional description for the book ''' || p_name || ''' by ' || p_brand || '.' AS description, NULL AS line
+FROM part WHERE p_partkey % 37 <> 0 AND p_partkey % 41 <> 0
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN p_partkey % 37 = 0
+  THEN p_partkey || ',' || p_partkey || ',oops' ELSE 'x' || p_partkey END FROM part WHERE p_partkey % 37 = 0 OR p_partkey % 41 = 0""")
+def s01_books_quarantine(spark, d):
+    """The 25-column scan; refused lines land in a quarantine table."""
+    path = scratch_path(spark, "books_lines")
+    book_lines(spark, d).write.text(path)
+    good, bad = RD.read_lines(spark, path, BOOKS, header=False)
+    good = good.select("book_id", "isbn13", "title", "authors", F.round("average_rating", 6).alias("average_rating"), "ratings_count", "description")
+    return good.unionByName(bad.select("line"), allowMissingColumns=True)
+
+
 @query("s02_scan_ratings", f"""WITH {INTER_SQL} SELECT book_id, user_id, rating FROM interactions""")
 def s02_scan_ratings(spark, d):
     path = scratch_path(spark, "ratings_csv")
@@ -204,6 +238,16 @@ def k03_matrices(spark, d):
     return out
 
 
+@query("k03_bucketed_scores", f"""WITH {INTER_SQL}, {recs_sql('interactions', 19, 10, 'recs')}
+SELECT user_id, book_id, score_nano, rank FROM recs""")
+def k03_bucketed_scores(spark, d):
+    """Ratings and neighbours as tables bucketed by book, scored (R05) without an exchange below their join."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    inter = write_bucketed(V.interactions(spark, d), "interactions_by_book", "book_id", n)
+    nb = write_bucketed(S.item_neighbors(inter, k=19).select("book_id", "other_id", "nano"), "neighbors_by_book", "book_id", n)
+    return R.recommend_for_users(inter, nb, n=10).select("user_id", "book_id", "score_nano", "rank")
+
+
 @query("k08_request_results", f"""WITH {INTER_SQL}, {recs_sql('interactions', 19, 5, 'recs')}
 SELECT user_id, book_id, score_nano, score_nano / 1000000000.0 AS score, rank, 'r1' AS run FROM recs""")
 def k08_request_results(spark, d):

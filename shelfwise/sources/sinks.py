@@ -1,6 +1,7 @@
 """Sinks (K01-K10): Parquet tables under a shared folder, read back lazily."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,18 @@ def write_table(df: DataFrame, name: str, spark: SparkSession | None = None, pat
     return r.load(path)
 
 
+def write_bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """``df`` as a table bucketed and sorted by one column, under the shared folder, and read through the catalogue.
+
+    Joins and groupings on ``by`` with tables of as many buckets need no exchange on this side. The rows are dealt by the key
+    first, so every bucket is one file.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, by).write.bucketBy(buckets, by).sortBy(by).option("path", scratch_path(spark, name)).saveAsTable(table))
+    return spark.table(table)
+
+
 def evaluation_table(pr: DataFrame, model: str, ks: Sequence[int]) -> DataFrame:
     """Long (k, precision, recall) -> one row per model, one column per metric."""
     long = pr.select(F.lit(model).alias("model"), F.explode(F.array(
