@@ -49,6 +49,15 @@ def _pairs(entries: DataFrame, sub_block: int) -> DataFrame:
                       F.when(first, F.col("n2")).otherwise(F.col("n1")).alias("nj"))
 
 
+def _pairs_from(entries: DataFrame, only: DataFrame, sub_block: int) -> DataFrame:
+    """(i, j, x, y, ni, nj) per row and ordered column pair with i in ``only`` (c); the other side's rows stay dealt."""
+    dealt = _dealt(entries, sub_block)
+    left = dealt.join(only, "c", "left_semi").select(
+        "r", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("b"), F.col("c").alias("i"), F.col("v").alias("x"), F.col("norm").alias("ni"))
+    right = dealt.select("r", "b", F.col("c").alias("j"), F.col("v").alias("y"), F.col("norm").alias("nj"))
+    return left.join(right, ["r", "b"]).filter(F.col("i") != F.col("j")).select("i", "j", "x", "y", "ni", "nj")
+
+
 def _product(entries: DataFrame, wide: bool) -> Column:
     """x * y for the sum: exact (long, or decimal where sums of longs could overflow) for integers, else double."""
     if wide:
@@ -57,9 +66,10 @@ def _product(entries: DataFrame, wide: bool) -> Column:
     return F.col("x").cast(kind) * F.col("y").cast(kind)
 
 
-def _summed(entries: DataFrame, sub_block: int, wide: bool) -> DataFrame:
+def _summed(entries: DataFrame, sub_block: int, wide: bool, only: DataFrame | None = None) -> DataFrame:
     # the norms go with the pair as keys, so the pairs need no further join
-    return _pairs(entries, sub_block).groupBy("i", "j", "ni", "nj").agg(
+    pairs = _pairs(entries, sub_block) if only is None else _pairs_from(entries, only, sub_block)
+    return pairs.groupBy("i", "j", "ni", "nj").agg(
         F.sum(_product(entries, wide)).alias("dot"), F.count(F.lit(1)).alias("n_common"))
 
 
@@ -74,8 +84,8 @@ def cooccurrence(entries: DataFrame, row: str, col: str, value: str, *, sub_bloc
 
 
 def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: str, out_right: str, *,
-                 sub_block: int = SUB_BLOCK, wide: bool = False) -> DataFrame:
-    """Cosine for every co-occurring pair, in both directions.
+                 sub_block: int = SUB_BLOCK, wide: bool = False, only: DataFrame | None = None) -> DataFrame:
+    """Cosine for every co-occurring pair, in both directions; with ``only`` (a table of columns) for those on the left alone.
 
     Columns: ``out_left, out_right, dot, sim, n_common, nano``. Integer inputs keep ``dot`` and squared norms
     exact, so ``sim = dot / (sqrt(n2_i) * sqrt(n2_j))`` is bit-identical in any engine; ``wide`` sums them as
@@ -86,8 +96,11 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, out_left: s
     own = _product(e, wide)
     norms = (e.select("c", F.col("v").alias("x"), F.col("v").alias("y")).groupBy("c").agg(F.sum(own).alias("n2"))
              .filter("n2 > 0").select("c", F.sqrt(F.col("n2").cast("double")).alias("norm")))
-    s = _summed(e.join(norms, "c"), sub_block, wide).withColumn(
+    wanted = None if only is None else only.select(F.col(col).alias("c")).distinct()
+    s = _summed(e.join(norms, "c"), sub_block, wide, wanted).withColumn(
         "sim", F.col("dot").cast("double") / (F.col("ni") * F.col("nj")))
+    if only is not None:
+        return s.select(F.col("i").alias(out_left), F.col("j").alias(out_right), "dot", "sim", "n_common").withColumn("nano", nano("sim"))
     return mirror(s, out_left, out_right, ["dot", "sim", "n_common"]).withColumn("nano", nano("sim"))
 
 
@@ -102,7 +115,8 @@ def item_neighbors(interactions: DataFrame, k: int = 20, user_col: str = "user_i
                    rating_col: str = "rating", other_col: str = "other_id", **kw) -> DataFrame:
     """The k most similar co-rated items of every item (self excluded by id).
 
-    Columns: item_col, other_col, dot, sim, nano, rank (1-based). Ties: nano desc, other id asc.
+    Columns: item_col, other_col, dot, sim, nano, rank (1-based). Ties: nano desc, other id asc. ``only``: a table of the items
+    whose neighbours are asked for; pairs without one of them are not made.
     """
     sims = cosine_pairs(interactions, user_col, item_col, rating_col, item_col, other_col, **kw)
     return top_k_per_group(sims, [item_col], [F.col("nano").desc(), F.col(other_col)], k)

@@ -262,8 +262,8 @@ def _eval_parts(spark, d):
     train = sp.filter(F.col("split") == "train").drop("split")
     test = sp.filter(F.col("split") == "test").drop("split")
     users = sample_keys(test, "user_id", SAMPLE_USERS, SEED)
-    nb = S.item_neighbors(train, k=SCORE_K)
-    recs = R.recommend_for_users(train.join(users, "user_id", "left_semi"), nb, n=max(KS))
+    own = train.join(users, "user_id", "left_semi")  # only these items' neighbours are scored
+    recs = R.recommend_for_users(own, S.item_neighbors(train, k=SCORE_K, only=own), n=max(KS))
     # exclusions must use the full train rows of the sampled users: the semi-join keeps all of them
     return train, test, users, recs
 
@@ -324,7 +324,8 @@ jac AS (SELECT p.ua, p.ub, CAST(coalesce(i.n_common, 0) AS INTEGER) AS n_common,
 def _overlap(spark, d):
     inter = V.interactions(spark, d)
     users = sample_keys(inter, "user_id", 5, SEED)
-    recs = R.recommend_for_users(inter.join(users, "user_id", "left_semi"), S.item_neighbors(inter, k=SCORE_K), n=5)
+    own = inter.join(users, "user_id", "left_semi")
+    recs = R.recommend_for_users(own, S.item_neighbors(inter, k=SCORE_K, only=own), n=5)
     return E.list_overlap(recs, users, n=5), recs, users
 
 
@@ -347,8 +348,7 @@ bc AS (SELECT sb.book_id, CAST(COUNT(bnb.other_id) AS BIGINT) AS n_items FROM sb
 def _similar_counts(spark, d):
     inter = V.interactions(spark, d)
     books = sample_keys(inter, "book_id", 5, SEED)
-    nb = S.item_neighbors(inter, k=5)
-    return E.counts_per_key(books, nb, "book_id")
+    return E.counts_per_key(books, S.item_neighbors(inter, k=5, only=books), "book_id")
 
 
 @query("e04_similar_counts", f"""WITH {SIM_SAMPLE_SQL} SELECT book_id, n_items FROM bc""")
@@ -364,7 +364,8 @@ SELECT (SELECT max(user_id) FROM interactions) + 100 AS user_id,
 def e05_cold_start(spark, d):
     inter = V.interactions(spark, d)
     probe = spark.range(1).select((inter.select(F.max("user_id")).scalar() + 100).alias("user_id"))
-    recs = R.recommend_for_users(inter.join(probe, "user_id", "left_semi"), S.item_neighbors(inter, k=SCORE_K), n=5)
+    own = inter.join(probe, "user_id", "left_semi")
+    recs = R.recommend_for_users(own, S.item_neighbors(inter, k=SCORE_K, only=own), n=5)
     return E.counts_per_key(probe, recs, "user_id")
 
 

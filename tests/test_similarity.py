@@ -132,3 +132,14 @@ def test_metadata_fallback_gives_one_row_per_key(spark):
     assert rows("per_key", primary) == [(1, "a", "x"), (2, "g", "g")]
     assert rows("all_or_nothing", primary) == [(1, "a", "x")]
     assert rows("all_or_nothing", primary.limit(0)) == [(1, "f", "f"), (2, "g", "g")]
+
+
+@pytest.mark.parametrize("sub_block", [512, 3])
+def test_neighbors_of_some_items_equal_those_of_all(spark, sub_block):
+    rnd = random.Random(4)
+    data = [(r, c, rnd.randint(1, 5)) for r in range(30) for c in rnd.sample(range(20), rnd.randint(1, 7))] + [(99, c, 2) for c in range(20)]
+    df = spark.createDataFrame(data, "user_id long, book_id long, rating int")
+    only = df.filter("book_id % 6 = 1").select("book_id")
+    rows = lambda x: sorted(map(tuple, x.select("book_id", "other_id", "dot", "nano", "n_common", "rank").collect()))
+    want = rows(S.item_neighbors(df, k=4).filter("book_id % 6 = 1"))
+    assert rows(S.item_neighbors(df, k=4, sub_block=sub_block, only=only)) == want
