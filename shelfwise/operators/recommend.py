@@ -1,4 +1,4 @@
-"""Recommenders over neighbour tables.
+"""Recommenders over neighbour and feature tables.
 
 Every operator scores all users at once: a per-user loop of the reference becomes one join plus
 one aggregation. Scores are exact integers ``sum(nano * rating)`` so ranking is engine-independent.
