@@ -12,6 +12,7 @@ from shelfwise.operators import recommend as R
 from shelfwise.operators import similarity as S
 from shelfwise.operators import text as TX
 from shelfwise.operators.ranking import sample_keys
+from shelfwise.operators.refit import NeighbourModel
 from shelfwise.plans import views as V
 from shelfwise.plans.q_text import MAX_DF, MIN_DF, book_docs, tfidf_sql, BOOK_TEXT_SQL
 from shelfwise.plans.q_clean import CLEAN_BOOKS_SQL
@@ -248,6 +249,21 @@ def k03_bucketed_scores(spark, d):
     return R.recommend_for_users(inter, nb, n=10).select("user_id", "book_id", "score_nano", "rank")
 
 
+@query("k10_delta_refit", f"""WITH {INTER_SQL},
+{cosine_sql('interactions', 'user_id', 'book_id', 'book_id', 'other_id')},
+{topk_sql('sims', 'book_id', 'nano DESC, other_id', 20, 'nb')}
+SELECT book_id, other_id, dot, nano, rank FROM nb""")
+def k10_delta_refit(spark, d):
+    """The neighbour model built on the first orders and refitted after three appends, the last of the ratings in order."""
+    raw = V.interactions_raw(spark, d)
+    share = F.col("l_orderkey") / raw.select(F.max("l_orderkey")).scalar()  # D02 orders by the order key first
+    model = NeighbourModel(spark, scratch_path(spark, "neighbour_model"))
+    bounds = (float("-inf"), 0.7, 0.8, 0.9, float("inf"))
+    for version, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        model.append(raw.filter((share > low) & (share <= high)), version, V.SEQ_COLS)
+    return model.neighbors(20).select("book_id", "other_id", "dot", "nano", "rank")
+
+
 @query("k08_request_results", f"""WITH {INTER_SQL}, {recs_sql('interactions', 19, 5, 'recs')}
 SELECT user_id, book_id, score_nano, score_nano / 1000000000.0 AS score, rank, 'r1' AS run FROM recs""")
 def k08_request_results(spark, d):
