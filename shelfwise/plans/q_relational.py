@@ -14,6 +14,8 @@ from shelfwise.plans import views as V
 from shelfwise.plans.q_clean import CLEAN_BOOKS_SQL
 from shelfwise.plans.registry import (BOOKS_SQL, DIRTY_BOOKS_SQL, DIRTY_RATINGS_SQL, INTER_SQL, IR_SQL, cosine_sql,
                                       query, td)
+from shelfwise.session import scratch_path
+from shelfwise.streaming.buckets import BucketedBooks
 
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
@@ -168,6 +170,25 @@ def u02_append_ingest_ratings(spark, d):
     return ratings.select("user_id", "book_id", "rating")
 
 
+def _bucketed(spark, d):
+    """The stored books and ratings as the first load, the others as an append that rewrites the buckets it touches."""
+    ex_b, ex_r, in_b, in_r = _ingest_inputs(spark, d)
+    tables = BucketedBooks(spark, scratch_path(spark, "bucketed_books"), 16)
+    tables.append(ex_b, ex_r, -1)
+    tables.append(in_b, in_r, 0)
+    return tables
+
+
+@query("u02_bucketed_books", f"""WITH {INGEST_SQL} SELECT * FROM nb""")
+def u02_bucketed_books(spark, d):
+    return _bucketed(spark, d).read("books")
+
+
+@query("u02_bucketed_ratings", f"""WITH {INGEST_SQL} SELECT * FROM nr""")
+def u02_bucketed_ratings(spark, d):
+    return _bucketed(spark, d).read("ratings")
+
+
 @query("u03_difference", f"""WITH {INTER_SQL}
 SELECT book_id FROM interactions EXCEPT SELECT p_partkey FROM part WHERE p_size <= 25""")
 def u03_difference(spark, d):
