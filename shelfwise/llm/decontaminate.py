@@ -10,9 +10,11 @@ window may move for the block that stands there (blocks in no window allow the f
 leads to the bucket of windows whose prefix ends in that block, and these are compared byte by byte. A batch of
 texts is searched by many pointers at once, each over its own short stretch of window ends.
 
-The documents are never shuffled. The benchmark comes to the driver and to the tasks in blocks of at most
+The documents are never shuffled. The benchmark comes to the driver and to the tasks in blocks of about
 ``block_bytes`` of item text (one longer item is a block); several blocks are searched one after the other in a
-chain of narrow steps. The driver and every task hold all blocks and their tables at once, so the benchmark must fit there.
+chain of narrow steps, and a task builds a block's tables once. At most ``at_once`` blocks live together: after so many the documents
+are written with the hits so far, the blocks are released and the next pass reads the written table. So the memory of driver and
+tasks is bounded whatever the benchmark's size; each further pass writes and reads the documents once more.
 
 Cases: null or empty text has no words; items without words or null are ignored; equal windows of several items
 count for each; items with a null id mark words but are not listed; repeated items list once; without items
@@ -28,13 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import cover, lower_ascii, rows_of, run_bounds, ship, slices, spread, utf8, word_spans
-from shelfwise.llm.tables import append_column, free_name
+from shelfwise.llm.tables import append_column, free_name, written
 
 _APART = np.ones(256, bool)
 _APART[0x30:0x3A] = False
 _APART[0x61:0x7B] = False
 _APART[0x80:] = False
 CLASSES = ((3, 3), (8, 4), (24, 8))  # least window length in bytes, block length
+AT_ONCE = 4  # blocks whose tables live together
 STRETCH = 256  # window ends that one pointer goes over
 FOUND = "struct<n_words: long, starts: array<long>, ends: array<long>, items: array<string>>"
 
@@ -167,25 +170,33 @@ def _blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterable[tuple[list, l
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("text")).filter(
         "text is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(-(-total // block_bytes))
+    n = max(int(-(-total // block_bytes)), 1)  # without items one empty block gives the column
     for i in range(n):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()
         part.sort(key=lambda r: (r.item_id is None, r.item_id or "", r.text))
         yield [r.item_id for r in part], [r.text for r in part]
 
 
-def find_windows(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 1 << 20) -> tuple[DataFrame, str]:
+def find_windows(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 1 << 20,
+                 at_once: int = AT_ONCE) -> tuple[DataFrame, str]:
     """``docs`` with one struct column (its name is returned): n_words, hit word ranges and the items found."""
     out = free_name(docs, "benchmark_hits")
-    blocks = list(_blocks_of(benchmark, block_bytes)) if block_bytes else []
-    spark = docs.sparkSession
-    for k, (ids, texts) in enumerate(blocks or [([], [])]):
-        shared = spark.sparkContext.broadcast((ids, texts))  # at most about block_bytes
+    blocks = _blocks_of(benchmark, block_bytes)
+    spark, live = docs.sparkSession, []
+    for k, (ids, texts) in enumerate(blocks):
+        if len(live) == at_once:
+            docs = written(docs, "benchmark-hits")
+            while live:
+                live.pop().destroy()  # the written table does not need it
+        shared = spark.sparkContext.broadcast((ids, texts))  # about block_bytes
+        live.append(shared)
         column = out if k == 0 else free_name(docs, f"{out}_{k}")
 
-        def kernel(text, before=None, shared=shared):
+        def kernel(text, before=None, shared=shared, held=[]):  # noqa: B006 - one list a task: the tables are built once
             ids, texts = shared.value
-            matcher = Matcher(texts, width)
+            if not held:
+                held.append(Matcher(texts, width))
+            matcher = held[0]
             data, off = utf8(text)
             words, lows, highs, items = [], [], [], []
             for a, b in slices(off):

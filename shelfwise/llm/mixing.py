@@ -4,7 +4,7 @@ Size is the number of words of a text. Sources share the total size by weight; a
 source's size and the excess is shared again by weight among the others until none is above. Every document of a
 source gets the copy rate target / size. Its whole part is taken at once; the fractions are rounded by pivotal
 sampling: two fractional documents exchange mass at random (a martingale that keeps the sum of probability times
-size) until one of them is 0 or 1. Documents are dealt to cells by hash; each cell leaves at most one fractional
+size) until one of them is 0 or 1. Documents are dealt to cells by a hash of id, size and the number among equal rows; each cell leaves at most one fractional
 document, and these are combined cell by cell in a tree until one per source is left, which a seeded coin decides. So a source's taken words differ from its target by less than one document.
 
 Randomness is seeded by source, cell and level and rows are ordered by (hash of id, id, size), so reruns agree.
@@ -99,6 +99,15 @@ def _round_cells(rows: DataFrame, seed: int, level: int) -> DataFrame:
     return written(keyed.groupBy("sid", "cell").applyInPandas(one, ROW), f"mix-level{level}")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with a number among equal rows, so that a cell's hash deals those too: equal rows (of a null id, say) are counted with
+    map-side combine and written out again in two steps of about ``CELL_ROWS`` each."""
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    step = F.lit(CELL_ROWS)
+    chunks = counted.withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, step.cast("long"))))
+    return chunks.withColumn("number", F.explode(F.sequence("low", F.least(F.col("low") + step, F.col("n")) - 1))).drop("n", "low")
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0, seed: int = 11) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken of every row of ``docs``.
 
@@ -111,12 +120,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), cap: float = 3.0,
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))).otherwise(0.0)
     cells = F.ceil(F.col("n_docs") / CELL_ROWS)
     rows = (sized.join(targets, sized["source"].eqNullSafe(targets["source"]))
-            .select("doc_id", "size", "sid", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("p"),
-                    F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), cells).alias("cell")))
+            .select("doc_id", "size", "sid", F.floor(rate).alias("whole"), (rate - F.floor(rate)).alias("p"), cells.alias("cells")))
     worded = F.col("size") > 0
     done = rows.filter(~worded).select("doc_id", "size", "sid", F.lit(0).cast("long").alias("copies"))
     level, most = 0, int(targets.agg(F.max(cells)).first()[0] or 1)
-    rows = rows.filter(worded)
+    rows = _numbered(rows.filter(worded)).withColumn(
+        "cell", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size", "number"), F.col("cells"))).drop("cells", "number")
     while True:
         rounded = _round_cells(rows, seed, level)
         copies = F.col("whole") + F.round("p").cast("long")

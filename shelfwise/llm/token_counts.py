@@ -4,7 +4,8 @@ Method: an Aho-Corasick automaton over the vocabulary lists every piece that end
 carries the best score and its piece count. Tie rules of unigram tokenizers: a later candidate replaces the best
 one only with a strictly greater score, and candidates come by ascending start, so of equal scores the one with
 the longest last piece stays. A character that is no piece on its own may be unknown, at the smallest vocabulary
-score less 10; with byte fallback it counts as many pieces as it has UTF-8 bytes.
+score less 10; with byte fallback it counts as many pieces as it has UTF-8 bytes, without it a run of unknown characters is
+one piece.
 
 With ``whole`` every character of a text counts: a word mark stands in front of the text and for each blank, and line
 feeds and tabs are pieces or bytes. The text is cut where no piece of the vocabulary holds the two neighbouring bytes
@@ -50,7 +51,7 @@ class Counter:
         self.single = {p for p, _ in vocabulary if len(p) == 1}
         self.unknown = min((s for _, s in vocabulary), default=0.0) - UNKNOWN_PENALTY
         self.byte_fallback = byte_fallback
-        self.known: dict[int, tuple[float, int]] = {}  # of words, or of parts: a counter is used for one of them
+        self.known: dict[int, tuple[float, int, bool, bool]] = {}  # of words, or of parts: a counter is used for one of them
         self.joined = _joined(vocabulary)
 
     def count(self, word: str) -> tuple[float, int]:
@@ -58,11 +59,17 @@ class Counter:
         return self.segment(MARK + word)
 
     def segment(self, word: str) -> tuple[float, int]:
+        score, pieces, _, _ = self.best(word)
+        return score, pieces
+
+    def best(self, word: str) -> tuple[float, int, bool, bool]:
+        """(score, pieces, starts with an unknown run, ends with one); without byte fallback a run of unknowns is one piece."""
         best, pieces = [0.0], [0]
+        opens, closes = [False], [False]  # of the best segmentation up to a place: its first and its last piece is unknown
         found = iter(self.automaton.iter(word) if len(self.automaton) else ())
         end, piece = next(found, (-1, None))
         for at, char in enumerate(word):
-            top, n, top_start = None, 0, 0
+            top, n, top_start, unknown = None, 0, 0, False
             while end == at:
                 start = at + 1 - piece[0]
                 score = best[start] + piece[1]
@@ -72,10 +79,13 @@ class Counter:
             if char not in self.single:
                 score = best[at] + self.unknown
                 if top is None or score > top:
-                    top, n = score, pieces[at] + (len(char.encode()) if self.byte_fallback else 1)
+                    top, top_start, unknown = score, at, True
+                    n = pieces[at] + (len(char.encode()) if self.byte_fallback else not closes[at])
             best.append(top)
             pieces.append(n)
-        return best[-1], pieces[-1]
+            opens.append(opens[top_start] if top_start else unknown)
+            closes.append(unknown)
+        return best[-1], pieces[-1], opens[-1], closes[-1]
 
     def rows(self, data: np.ndarray, offsets: np.ndarray, whole: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(n_words, n_tokens, score) of every row of a slice."""
@@ -92,11 +102,15 @@ class Counter:
             found = self.known.get(key)
             if found is None:
                 part = raw[a:b].decode()
-                found = self.known[key] = self.segment(part.replace(" ", MARK)) if whole else self.count(part)
+                found = self.known[key] = self.best(part.replace(" ", MARK) if whole else MARK + part)
             out.append(found)
-        table = np.array(out, float).reshape(-1, 2)
+        table = np.array(out, float).reshape(-1, 4)
         row, n = rows_of(first), len(offsets) - 1
         score, tokens = (np.bincount(row, table[which, i], n) for i in (0, 1))
+        if whole and not self.byte_fallback:  # a run of unknowns that goes over a cut is one piece
+            opens, closes = table[which, 2] > 0, table[which, 3] > 0
+            over = closes[:-1] & opens[1:] & (row[:-1] == row[1:])
+            tokens -= np.bincount(row[1:][over], minlength=n)
         return n_words, tokens.astype(np.int64), score
 
     def parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

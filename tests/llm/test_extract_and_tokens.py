@@ -165,3 +165,17 @@ def test_pieces_that_cross_blanks_and_line_feeds():
     data, off = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(t) for t in raw]))
     got = counter.rows(data, off, whole=True)[1].tolist()
     assert got == [len(tokenizer.encode("▁" + t.replace(" ", "▁"), add_special_tokens=False).ids) if t else 0 for t in texts]
+
+
+def test_runs_of_unknown_characters_are_one_piece_without_byte_fallback():
+    import itertools
+    pieces = [("▁", -1.0), ("a", -1.0), ("▁a", -1.25), ("b", -1.0), ("ab", -1.5)]
+    counter = token_counts.Counter(pieces, byte_fallback=False)
+    from tokenizers import Tokenizer, models
+    tokenizer = Tokenizer(models.Unigram([("<unk>", 0.0)] + pieces, 0, False))
+    texts = ["".join(t) for n in range(6) for t in itertools.product("ab漢字 ", repeat=n)] + ["a漢字漢b", "漢" * 50]
+    raw = [t.encode() for t in texts]
+    data, off = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(t) for t in raw]))
+    got = counter.rows(data, off, whole=True)[1].tolist()
+    assert got == [len(tokenizer.encode("▁" + t.replace(" ", "▁"), add_special_tokens=False).ids) if t else 0 for t in texts]
+    assert counter.count("a漢字漢b")[1] == 3

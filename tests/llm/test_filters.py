@@ -245,3 +245,30 @@ def test_pivot_keeps_the_mass():
     assert fractional.sum() <= 1 and abs((p * size).sum() - 0.37 * size.sum()) < 1e-6
     mean = np.mean([mixing._pivot(size[:20], np.full(20, 0.37), rng.random(20))[0].mean() for _ in range(3000)])
     assert abs(mean - 0.37) < 0.02
+
+
+def test_equal_rows_go_to_several_cells(spark):
+    n = 3 * mixing.CELL_ROWS
+    rows = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one two three").alias("text"), F.lit("a").alias("source"))
+    rows = rows.unionByName(spark.createDataFrame([(1, " ".join(["w"] * 4000), "b")], rows.schema))
+    got = mixing.mix(rows).collect()
+    assert len(got) == n + 1
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in "ab"}
+    target = {r.source: r.target for r in got}
+    assert abs(taken["a"] - target["a"]) <= 3 and abs(taken["b"] - target["b"]) <= 4000
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(rows.repartition(5)).collect()))
+    rows = spark.createDataFrame([(None, 7, 0, 1, 0.5, 3)] * n + [(4, 7, 0, 1, 0.5, 3)], "doc_id long, size long, sid long, whole long, p double, cells long")
+    numbered = mixing._numbered(rows).collect()
+    assert sorted(r.number for r in numbered if r.doc_id is None) == list(range(n)) and len(numbered) == n + 1
+
+
+def test_passes_over_a_large_benchmark(spark):
+    r = random.Random(9)
+    items = [(i, " ".join(f"w{r.randint(0, 40)}" for _ in range(12))) for i in range(40)]
+    docs = [(i, " ".join([*(f"w{r.randint(0, 40)}" for _ in range(9)), items[i % 40][1] if i % 3 else ""])) for i in range(60)]
+    frames = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    found, out = decontaminate.find_windows(*frames, block_bytes=200, at_once=2)
+    got = {x.doc_id: (x[out].n_words, sorted(x[out]["items"])) for x in found.collect()}
+    whole, name = decontaminate.find_windows(*frames)
+    assert got == {x.doc_id: (x[name].n_words, sorted(x[name]["items"])) for x in whole.collect()}
+    assert any(items for _, items in got.values())
