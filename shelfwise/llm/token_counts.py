@@ -83,8 +83,9 @@ class Counter:
                     n = pieces[at] + (len(char.encode()) if self.byte_fallback else not closes[at])
             best.append(top)
             pieces.append(n)
-            opens.append(opens[top_start] if top_start else unknown)
-            closes.append(unknown)
+            if not self.byte_fallback:
+                opens.append(opens[top_start] if top_start else unknown)
+                closes.append(unknown)
         return best[-1], pieces[-1], opens[-1], closes[-1]
 
     def rows(self, data: np.ndarray, offsets: np.ndarray, whole: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
