@@ -191,26 +191,37 @@ def k05_vocabulary(spark, d):
     return write_table(vocab.select("term", "index").orderBy("index"), "tfidf_vocabulary", spark)
 
 
+def _digest_sql(cols: str) -> str:
+    """Rows and content of a stage: the sum of the first 48 bits of every row's md5."""
+    return f"COUNT(*) AS BIGINT) AS n_rows, CAST(SUM(CAST('0x' || substr(md5(concat_ws('|', {cols})), 1, 12) AS BIGINT)) AS VARCHAR) AS content"
+
+
+_MERGED_COLS = "i.user_id, i.book_id, i.rating, b.title, b.authors, b.category, b.size, CAST(round(b.price * 100) AS BIGINT)"
+
+
 @query("k01_k02_stage_tables", f"""WITH {SPLIT_SQL}, {BOOKS_SQL}
-SELECT 'raw_books' AS stage, CAST(COUNT(*) AS BIGINT) AS n_rows FROM books
-UNION ALL SELECT 'raw_ratings', COUNT(*) FROM ir
-UNION ALL SELECT 'merged', COUNT(*) FROM interactions i JOIN books b ON i.book_id = b.book_id
-UNION ALL SELECT 'train', COUNT(*) FROM train
-UNION ALL SELECT 'test', COUNT(*) FROM test""")
+SELECT 'raw_books' AS stage, CAST({_digest_sql("book_id, title, authors, category, size, CAST(round(price * 100) AS BIGINT)")} FROM books
+UNION ALL SELECT 'raw_ratings', CAST({_digest_sql("user_id, book_id, rating")} FROM ir
+UNION ALL SELECT 'merged', CAST({_digest_sql(_MERGED_COLS)} FROM interactions i JOIN books b ON i.book_id = b.book_id
+UNION ALL SELECT 'train', CAST({_digest_sql("user_id, book_id, rating")} FROM train
+UNION ALL SELECT 'test', CAST({_digest_sql("user_id, book_id, rating")} FROM test""")
 def k01_k02_stage_tables(spark, d):
-    """Raw books/ratings as CSV, processed stages as Parquet; row counts read back."""
+    """Raw books/ratings as CSV, processed stages as Parquet; rows and content read back."""
     sp = V.split_interactions(spark, d)
+    rating, book = ["user_id", "book_id", "rating"], ["book_id", "title", "authors", "category", "size", "cents"]
     stages = {
-        "raw_books": write_table(V.books(spark, d), "raw_books", spark, fmt="csv"),
-        "raw_ratings": write_table(V.interactions_raw(spark, d).select("user_id", "book_id", "rating"),
-                                   "raw_ratings", spark, fmt="csv"),
-        "merged": write_table(V.interactions(spark, d).join(V.books(spark, d), "book_id"), "merged", spark),
-        "train": write_table(sp.filter(F.col("split") == "train"), "train", spark),
-        "test": write_table(sp.filter(F.col("split") == "test"), "test", spark),
+        "raw_books": (book, write_table(V.books(spark, d), "raw_books", spark, fmt="csv")),
+        "raw_ratings": (rating, write_table(V.interactions_raw(spark, d).select(*rating), "raw_ratings", spark, fmt="csv")),
+        "merged": (rating + book[1:], write_table(V.interactions(spark, d).join(V.books(spark, d), "book_id"), "merged", spark)),
+        "train": (rating, write_table(sp.filter(F.col("split") == "train"), "train", spark)),
+        "test": (rating, write_table(sp.filter(F.col("split") == "test"), "test", spark)),
     }
     out = None
-    for name, t in stages.items():
-        one = t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
+    for name, (cols, t) in stages.items():
+        if "cents" in cols:
+            t = t.withColumn("cents", F.round(F.col("price") * 100).cast("long"))
+        row = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols])), 1, 12), 16, 10).cast("decimal(20,0)")
+        one = t.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row).cast("string").alias("content")).select(F.lit(name).alias("stage"), "n_rows", "content")
         out = one if out is None else out.unionByName(one)
     return out
 

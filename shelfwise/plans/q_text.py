@@ -10,7 +10,7 @@ from shelfwise.operators.nearest import nearest
 from shelfwise.plans import views as V
 from shelfwise.plans.registry import BOOKS_SQL, INTER_SQL, query
 
-STOP_SQL = ", ".join(f"'{w}'" for w in TX.STOP_WORDS)
+STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in TX.STOP_WORDS)
 PAT = r"[\p{L}\p{N}_]{2,}"
 MIN_DF, MAX_DF = 5, 0.8
 

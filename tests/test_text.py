@@ -31,3 +31,8 @@ def test_tokens_two_chars_unicode(spark):
     from shelfwise.functions.exprs import tokens
     df = spark.createDataFrame([("Élan a b2 été x_y",)], "t string")
     assert df.select(tokens("t").alias("k")).first().k == ["élan", "b2", "été", "x_y"]
+
+
+def test_default_stop_words_are_sparks(spark):
+    from pyspark.ml.feature import StopWordsRemover
+    assert TX.STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
