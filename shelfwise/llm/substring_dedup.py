@@ -25,8 +25,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from shelfwise.llm.common import run_bounds, ship, spread, word_hash, word_spans
-from shelfwise.llm.segments import NULL_ID, repeated_windows, verdicts, window_cover
+from shelfwise.llm.common import run_bounds, ship, slices, spread, word_hash, word_spans
+from shelfwise.llm.segments import NULL_ID, number_lists, repeated_windows, verdicts, window_cover
 from shelfwise.llm.suffix import join, ranks
 
 GRAM = 8  # words of an anchor
@@ -83,6 +83,15 @@ class ReferenceBlock:
         return mask
 
 
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``word_hash`` over about a megabyte of the text at a time."""
+    out = [np.zeros(0, np.uint64)]
+    for a, b in slices(np.append(starts, len(data))):
+        low, high = starts[a], ends[b - 1]
+        out.append(word_hash(data[low:high], starts[a:b] - low, ends[a:b] - low))
+    return np.concatenate(out)
+
+
 def word_slices(text: bytes):
     data = np.frombuffer(text, np.uint8)
     starts, ends, _ = word_spans(data, np.array([0, len(data)]))
@@ -96,7 +105,7 @@ def remove_shared_passages(docs: DataFrame, length: int = 35) -> DataFrame:
 
     def symbols(data, offsets):
         starts, ends, first = word_spans(data, offsets)
-        return word_hash(data, starts, ends), first
+        return hashes(data, starts, ends), first
 
     def slicer(text: bytes):
         starts, ends = word_slices(text)
@@ -122,10 +131,10 @@ def remove_shared_passages(docs: DataFrame, length: int = 35) -> DataFrame:
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for did, z, packs, starts, ends in zip(*(c.to_pylist() for c in batch.columns)):
-                words = unpress.decompress(z).split()
+            for did, z, packs, starts, ends in zip(batch.column(0).to_pylist(), batch.column(1), *map(number_lists, batch.columns[2:])):
+                words = unpress.decompress(z.as_py()).split()
                 kept, low, high = words, [], []
-                if packs:
+                if len(packs):
                     gone = window_cover(repeated_windows(len(words), packs, starts, ends), len(words), length)
                     low, high = (x.tolist() for x in run_bounds(gone))
                     kept = [w for a, b in zip([0, *high], [*low, len(words)]) for w in words[a:b]]

@@ -24,8 +24,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from shelfwise.llm.common import byte_symbols, run_bounds, ship
-from shelfwise.llm.segments import NULL_ID, repeated_windows, verdicts, window_cover
+from shelfwise.llm.common import run_bounds, ship
+from shelfwise.llm.segments import NULL_ID, number_lists, repeated_windows, verdicts, window_cover
 from shelfwise.llm.suffix import join, ranks
 
 GRAM = 24  # bytes of an anchor
@@ -116,7 +116,7 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         raise ValueError(f"length must be at least {2 * GRAM} bytes")
 
     def symbols(data, offsets):
-        return byte_symbols(data), offsets
+        return data, offsets  # widened a piece at a time
 
     def slicer(text: bytes):
         return lambda at, run: text[at:at + run + length - 1]
@@ -128,11 +128,11 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for did, z, packs, starts, ends in zip(*(c.to_pylist() for c in batch.columns)):
-                text = unpress.decompress(z)
+            for did, z, packs, starts, ends in zip(batch.column(0).to_pylist(), batch.column(1), *map(number_lists, batch.columns[2:])):
+                text = unpress.decompress(z.as_py())
                 low = high = np.zeros(0, np.int64)
                 kept = text
-                if packs:
+                if len(packs):
                     gone = window_cover(repeated_windows(len(text), packs, starts, ends), len(text), length)
                     low, high = run_bounds(gone)
                     kept = np.frombuffer(text, np.uint8)[~gone].tobytes()

@@ -86,3 +86,46 @@ def test_merged_copies_of_repeated_rows_count(spark, copies):
     engine = lambda segs, copies, runs: tuple(np.full(1, x) for x in (0, 0, 1)) if copies[0] == 1 else (np.zeros(0, np.int64),) * 3
     found = segments.judge(spark.createDataFrame(rows, segments.SEGMENT).coalesce(1), engine).collect()
     assert len(found) == (max(copies) == 1)
+
+
+@pytest.mark.parametrize("op, brute_force, k", [(remove_repeats, brute.byte_dedup, 24), (remove_shared_passages, brute.word_dedup, 8)])
+def test_frequent_anchors_are_dealt_by_place(spark, monkeypatch, op, brute_force, k):
+    r = np.random.default_rng(8)
+    words = lambda n: " ".join("".join(map(chr, r.integers(97, 123, 6))) for _ in range(n))
+    passage = words(50)
+    rows = [(i, f"{words(10)} {passage} {words(10)}") for i in range(60)] + [(100, words(90)), (101, ""), (102, None)]
+    monkeypatch.setattr(segments, "SAMPLE", 1)
+    monkeypatch.setattr(segments, "HOT", 10_000)
+    seen, places = [], segments.places
+
+    def watched(*args):
+        seen.append(places(*args))
+        return seen[-1]
+    monkeypatch.setattr(segments, "places", watched)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) if k == 8 else (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in op(df).collect()}
+    assert got == brute_force(rows)
+    most = seen[0].groupBy("anchor", "known").count().groupBy("known").agg(F.max("count").alias("n"))
+    most = {x.known: x.n for x in most.collect()}
+    assert most[True] >= 60 and most.get(False, 0) < 60  # the passage's places do not meet in one task
+
+
+@pytest.mark.parametrize("op, brute_force, k", [(remove_repeats, brute.byte_dedup, 24), (remove_shared_passages, brute.word_dedup, 8)])
+def test_long_texts_in_pieces(spark, monkeypatch, op, brute_force, k):
+    rows = [(i, t) for i, t in enumerate(brute.texts(3))]
+    monkeypatch.setattr(segments, "PIECE", 37)  # most windows reach over a border
+    got = {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) if k == 8 else (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256)
+           for x in op(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    assert got == brute_force(rows)
+
+
+@pytest.mark.parametrize("size", [100, 35])
+def test_pieces_need_bounded_memory(size):
+    import tracemalloc
+    data = np.random.default_rng(5).integers(97, 123, 64 << 20, dtype=np.uint8)
+    tracemalloc.start()
+    found = sum(int(run.sum()) for _, _, run, _ in segments.segments_in(data, np.array([0, len(data)]), size, 24))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == len(data) - size + 1  # every window is in one segment
+    assert peak < 100 << 20
