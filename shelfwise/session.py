@@ -53,8 +53,29 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_scratch: list[str] = []  # paths of the tables written so far
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for written tables, placed under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", "", 1) if base.startswith("file:") else base,
-                        "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    return noted(os.path.join(base.replace("file:", "", 1) if base.startswith("file:") else base,
+                              "tables", f"{name}-{uuid.uuid4().hex[:12]}"))
+
+
+def noted(path: str) -> str:
+    """``path``, remembered for ``drop_scratch``."""
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every table written under a fresh path so far, and say how many there were.
+
+    For the caller, once the results are consumed: results read these tables until then. Nothing else in the folder is touched.
+    """
+    jvm, done = spark._jvm, 0
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return done

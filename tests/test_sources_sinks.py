@@ -1,10 +1,13 @@
 """Quarantine of refused lines and bucketed tables."""
+import os
+
 from pyspark.sql import functions as F
 
 from shelfwise.operators import recommend as R
 from shelfwise.schemas import RATINGS
 from shelfwise.sources import readers as RD
-from shelfwise.sources.sinks import write_bucketed
+from shelfwise.session import checkpoint_dir, drop_scratch
+from shelfwise.sources.sinks import write_bucketed, write_table
 
 
 def test_every_line_is_good_or_refused(spark, tmp_path):
@@ -34,3 +37,13 @@ def test_bucketed_sides_need_no_exchange(spark):
     assert "hashpartitioning(book_id" not in scored
     want = {(r.user_id, r.book_id): r.score_nano for r in R.score_candidates(inter, nb).collect()}
     assert {(r.user_id, r.book_id): r.score_nano for r in R.score_candidates(a, b).collect()} == want
+
+
+def test_written_tables_are_dropped_and_nothing_else(spark, tmp_path):
+    drop_scratch(spark)
+    own = write_table(spark.range(10).toDF("id"), "own", spark)
+    other = write_table(spark.range(10).toDF("id"), "other", spark, path=str(tmp_path / "other"))
+    assert own.count() == 10 and drop_scratch(spark) == 1
+    folder = os.path.join(checkpoint_dir(spark).replace("file:", "", 1), "tables")
+    assert not [f for f in os.listdir(folder) if f.startswith("own-")]
+    assert other.count() == 10 and drop_scratch(spark) == 0
