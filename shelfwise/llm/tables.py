@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
 from shelfwise.llm.common import ship
-from shelfwise.session import checkpoint_dir
+from shelfwise.session import checkpoint_dir, noted
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the session's checkpoint folder, as the URI the cluster gave."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the session's checkpoint folder, as the URI the cluster gave; ``session.drop_scratch`` deletes it."""
+    return noted(f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
