@@ -143,3 +143,38 @@ def test_neighbors_of_some_items_equal_those_of_all(spark, sub_block):
     rows = lambda x: sorted(map(tuple, x.select("book_id", "other_id", "dot", "nano", "n_common", "rank").collect()))
     want = rows(S.item_neighbors(df, k=4).filter("book_id % 6 = 1"))
     assert rows(S.item_neighbors(df, k=4, sub_block=sub_block, only=only)) == want
+
+
+@pytest.mark.parametrize("per_task", [1 << 21, 40, 3])
+def test_dealt_columns_keep_every_neighbour(spark, per_task):
+    rnd = random.Random(5)
+    data = [(r, c, rnd.randint(0, 300)) for r in range(40) for c in {0, 70_000, *rnd.sample(range(1, 25), rnd.randint(1, 6))}]
+    df = spark.createDataFrame(data, "user_id long, book_id long, rating int")
+    co = brute(data)
+    n2 = {}
+    for r, c, v in data:
+        n2[c] = n2.get(c, 0) + v * v
+    want = {(a, b): d for (a, b), d in co.items() if n2[a] and n2[b]}
+    got = {(x.book_id, x.other_id): (x.dot, x.n_common) for x in S.cosine_pairs(df, "user_id", "book_id", "rating", "book_id", "other_id", per_task=per_task).collect()}
+    assert got == {p: v for (a, b), v in want.items() for p in ((a, b), (b, a))}
+
+
+def test_pairs_are_not_shuffled(spark):
+    # 100 rows of 60 columns: 354,000 pairs in both directions, from 6,000 entries; only entries, blocks and the k best may be shuffled
+    df = spark.range(6000).select((F.col("id") % 100).alias("user_id"), F.expr("id div 100 + 60 * (id % 100)").alias("book_id"), F.lit(1).alias("rating"))
+    plan = S.item_neighbors(df, k=2)
+    assert plan.count() == 12_000
+
+    def written(node):
+        inner = node.executedPlan() if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else node.plan() if "QueryStage" in node.getClass().getSimpleName() else None
+        if inner is not None:
+            return written(inner)
+        own = [node.metrics().apply("shuffleRecordsWritten").value()] if "ShuffleExchange" in node.getClass().getSimpleName() else []
+        kids = node.children()
+        return own + [x for i in range(kids.size()) for x in written(kids.apply(i))]
+
+    df = plan
+    df._jdf.queryExecution().executedPlan()
+    df.collect()
+    counts = written(df._jdf.queryExecution().executedPlan())
+    assert counts and max(counts) <= 12_000
