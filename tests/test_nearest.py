@@ -61,3 +61,12 @@ def test_rows_with_nothing_but_the_hot_feature(spark):
     assert candidates.count() == 0
     got = {(x.r, x.o, x.dot, x.nano, x.rank) for x in N.nearest(df, 3, "r", "c", "v", "o", hot=100).collect()}
     assert got == brute(data, 3)
+
+
+@pytest.mark.parametrize("hot,per_task", [(3, 1 << 21), (3, 7), (12, 25)])
+def test_dealt_champions_lose_no_pair(spark, hot, per_task):
+    data = table(21)
+    df = spark.createDataFrame(data, "r long, c long, v long").filter("v > 0")
+    whole, dealt = (N.pruned_pairs(df, 3, 1e9, True, hot, per_task=p)[1] for p in (1 << 21, per_task))
+    rows = lambda x: sorted(map(tuple, x.select("x", "y", "dot", "key").collect()))
+    assert rows(dealt) == rows(whole)
