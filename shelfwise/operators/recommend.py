@@ -17,6 +17,12 @@ from shelfwise.operators.ranking import top_k_per_group
 RATINGS_PER_TASK = 1 << 16  # ratings whose candidates one task sums
 
 
+def _scoring_tasks(interactions: DataFrame) -> int:
+    """The number of tasks follows the ratings; a rating brings a list of some twenty rows at most."""
+    tasks = interactions.select(F.count(F.lit(1))).first()[0] // RATINGS_PER_TASK + 1
+    return max(tasks, int(interactions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def user_item_entries(ratings: DataFrame, user_col: str = "user_id", item_col: str = "book_id",
                       rating_col: str = "rating") -> DataFrame:
     """The sparse user x item matrix as (user, item, rating) entries, duplicates summed.
@@ -42,10 +48,7 @@ def score_candidates(interactions: DataFrame, neighbors: DataFrame, user_col: st
         user_col, item_col, rating_col, F.coalesce("_js", F.array().cast(lists.schema["_js"].dataType)).alias("_js"),
         F.coalesce("_ns", F.array().cast(lists.schema["_ns"].dataType)).alias("_ns"))
     rows = met.select(user_col, rating_col, "_ns", F.concat(F.array(item_col), "_js").alias("_js"))
-    # the number of tasks follows the ratings; a list has some twenty candidates
-    tasks = interactions.select(F.count(F.lit(1))).first()[0] // RATINGS_PER_TASK + 1
-    tasks = max(tasks, int(interactions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartition(tasks, user_col).select(user_col, rating_col, "_ns", F.posexplode("_js").alias("_p", item_col))
+    rows = rows.repartition(_scoring_tasks(interactions), user_col).select(user_col, rating_col, "_ns", F.posexplode("_js").alias("_p", item_col))
     contrib = F.when(F.col("_p") > 0, F.get("_ns", F.col("_p") - 1) * F.col(rating_col)).otherwise(F.lit(0).cast("long"))
     agg = rows.groupBy(user_col, item_col).agg(F.sum(contrib).alias("score_nano"), F.min("_p").alias("_p"))
     return agg.filter(F.col("_p") > 0).drop("_p")
@@ -127,10 +130,14 @@ def user_profiles(interactions: DataFrame, features: DataFrame, user_col: str =
                   item_col: str = "book_id", rating_col: str = "rating", feature_col: str = "feature",
                   value_col: str = "value") -> DataFrame:
     """profile(u, f) = sum_b r(u, b) w(b, f) / sum_b r(u, b) over all rated books b."""
-    tot = interactions.groupBy(user_col).agg(F.sum(rating_col).alias("rsum"))
-    num = (interactions.select(user_col, item_col, rating_col).join(features.select(item_col, feature_col, value_col),
-                                                                      item_col)
-           .groupBy(user_col, feature_col).agg(F.sum(F.col(rating_col) * F.col(value_col)).alias("num")))
+    tasks = _scoring_tasks(interactions)
+    tot = interactions.select(user_col, rating_col).repartition(tasks, user_col).groupBy(user_col).agg(F.sum(rating_col).alias("rsum"))
+    # a rating goes to its user's task once, with its book's features as two arrays
+    lists = features.groupBy(item_col).agg(F.collect_list(F.struct(feature_col, value_col)).alias("_l")).select(
+        item_col, F.col(f"_l.{feature_col}").alias("_fs"), F.col(f"_l.{value_col}").alias("_vs"))
+    rows = interactions.select(user_col, item_col, rating_col).join(lists, item_col).select(user_col, rating_col, "_fs", "_vs").repartition(
+        tasks, user_col).select(user_col, rating_col, "_vs", F.posexplode("_fs").alias("_p", feature_col))
+    num = rows.groupBy(user_col, feature_col).agg(F.sum(F.col(rating_col) * F.get("_vs", F.col("_p"))).alias("num"))
     return num.join(tot, user_col).select(user_col, feature_col,
                                           F.when(F.col("rsum") == 0, F.lit(0.0)).otherwise(
                                               F.col("num") / F.col("rsum")).alias("weight"))
