@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import inner_product as IP
 from shelfwise.operators import recommend as R
+from shelfwise.operators import similarity as S
 from shelfwise.plans import q_io
 from tests.conftest import SF
 
@@ -61,3 +62,61 @@ def test_latest_version_finds_the_neighbours_once(spark, monkeypatch):
 def test_a_slice_holds_a_bounded_number_of_weights(blocks, width):
     rows = IP.slice_rows(blocks, blocks * width)
     assert rows >= 1 and (rows == 1 or rows * max(blocks, blocks * width) <= IP.CELLS)
+
+
+def bytes_shuffled(df):
+    """The bytes each exchange of ``df`` took, before they are compressed, after it ran."""
+    df.collect()
+
+    def written(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return written(node.executedPlan())
+        if "QueryStage" in name:
+            return written(node.plan())
+        own = [node.metrics().apply("dataSize").value()] if "ShuffleExchange" in name else []
+        return own + [x for i in range(node.children().size()) for x in written(node.children().apply(i))]
+    return written(df._jdf.queryExecution().executedPlan())
+
+
+def test_a_partner_is_one_small_number(spark):
+    r = random.Random(3)
+    data = [(u, b, r.randint(1, 5)) for u in range(300) for b in r.sample(range(1 << 21), 60)]
+    df = spark.createDataFrame(data, "user_id long, book_id long, rating int")
+    assert max(bytes_shuffled(S.item_neighbors(df, k=3))) < 6 * 300 * 60 * 59  # 8.1 bytes a pair as three arrays
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_few_columns_are_summed_before_the_shuffle(spark, wide):
+    r = random.Random(4)
+    data = [(u, f"title {b}", r.randint(-3, 5) * 1000) for u in range(1500) for b in r.sample(range(20), 15)]
+    df = spark.createDataFrame(data, "user_id long, title string, rating long")
+    sims = S.cosine_pairs(df, "user_id", "title", "rating", "title", "other", wide=wide)
+    assert max(bytes_shuffled(sims)) < 100 * len(data)  # entries, not pairs
+    rows = {}
+    for u, t, v in data:
+        rows.setdefault(u, {})[t] = v
+    want = {}
+    for row in rows.values():
+        for a in row:
+            for b in row:
+                if a != b:
+                    d, n = want.get((a, b), (0, 0))
+                    want[a, b] = (d + row[a] * row[b], n + 1)
+    assert {(x.title, x.other): (int(x.dot), x.n_common) for x in sims.collect()} == want
+
+
+@pytest.mark.parametrize("sub_block,per_task", [(512, 1 << 21), (3, 40)])
+def test_large_and_negative_ids_and_values_stay_exact(spark, sub_block, per_task):
+    r = random.Random(6)
+    ids = [-(1 << 40), -5, 0, 7, 1 << 33, (1 << 40) + 1, *range(100, 130)]
+    data = [(u, b, r.randint(-9, 9)) for u in range(25) for b in {ids[u % 6], *r.sample(ids, 8)}]
+    df = spark.createDataFrame(data, "user_id long, book_id long, rating int")
+    want = {}
+    for u, a, x in data:
+        for w, b, y in data:
+            if u == w and a != b:
+                d, n = want.get((a, b), (0, 0))
+                want[a, b] = (d + x * y, n + 1)
+    got = S.cosine_pairs(df, "user_id", "book_id", "rating", "book_id", "other", sub_block=sub_block, per_task=per_task).collect()
+    assert {(x.book_id, x.other): (x.dot, x.n_common) for x in got} == want
