@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import inner_product as IP
 from shelfwise.operators import recommend as R
 from shelfwise.operators import similarity as S
+from shelfwise.operators import text as TX
 from shelfwise.plans import q_io
 from tests.conftest import SF
 
@@ -120,3 +121,16 @@ def test_large_and_negative_ids_and_values_stay_exact(spark, sub_block, per_task
                 want[a, b] = (d + x * y, n + 1)
     got = S.cosine_pairs(df, "user_id", "book_id", "rating", "book_id", "other", sub_block=sub_block, per_task=per_task).collect()
     assert {(x.book_id, x.other): (x.dot, x.n_common) for x in got} == want
+
+
+def test_tfidf_leaves_the_counts_with_their_document(spark):
+    r = random.Random(8)
+    docs = spark.createDataFrame([(i, " ".join(f"word{r.randint(0, 60)}" for _ in range(50))) for i in range(120)] + [(None, "word1 word2")], "doc_id long, text string")
+    w, _ = TX.tfidf(docs, "doc_id", "text", 2, 0.9)
+    rows = w.collect()
+    assert len(rows) > 3000 and all(x.doc_id is not None for x in rows)
+    assert max(records_shuffled(w), default=0) < 1000  # every count crossed three shuffles before
+    sums = {}
+    for x in rows:
+        sums[x.doc_id] = sums.get(x.doc_id, 0.0) + x.weight ** 2
+    assert len(sums) == 120 and all(s == pytest.approx(1.0) for s in sums.values())
