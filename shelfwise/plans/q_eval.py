@@ -16,6 +16,7 @@ from shelfwise.plans import views as V
 from shelfwise.plans.q_text import AUTH_SQL
 from shelfwise.plans.registry import (BOOKS_SQL, INTER_SQL, IR_SQL, SPLIT_SQL, VALID_SQL, cosine_sql, query, recs_sql,
                                       topk_sql)
+from shelfwise.sources.sinks import write_table
 
 SEED = 42
 SAMPLE_USERS = 50
@@ -197,7 +198,6 @@ def r14_similar_with_metadata(spark, d):
 
 def _answers(spark, d):
     """(validated requests, their items); only the requested users and books are scored."""
-    from shelfwise.sources.sinks import write_table
     valid = SV.validate_requests(V.requests(spark, d))
     ok = valid.filter(F.col("status") == 200)
     asked = lambda kind, name: ok.filter(F.col("kind") == kind).select(F.col("target_id").alias(name))
@@ -261,8 +261,8 @@ def _eval_parts(spark, d):
     sp = V.split_interactions(spark, d, SEED)
     train = sp.filter(F.col("split") == "train").drop("split")
     test = sp.filter(F.col("split") == "test").drop("split")
-    users = sample_keys(test, "user_id", SAMPLE_USERS, SEED)
-    own = train.join(users, "user_id", "left_semi")  # only these items' neighbours are scored
+    users = write_table(sample_keys(test, "user_id", SAMPLE_USERS, SEED), "sampled-users")
+    own = write_table(train.join(users, "user_id", "left_semi"), "sampled-ratings")  # only these items' neighbours are scored
     recs = R.recommend_for_users(own, S.item_neighbors(train, k=SCORE_K, only=own), n=max(KS))
     # exclusions must use the full train rows of the sampled users: the semi-join keeps all of them
     return train, test, users, recs
@@ -299,7 +299,7 @@ SELECT 'item_knn' AS model,
   round(max(CASE WHEN k = 10 THEN precision END), 6) AS precision_at_10,
   round(max(CASE WHEN k = 10 THEN recall END), 6) AS recall_at_10 FROM pr""")
 def e02_train_eval(spark, d):
-    from shelfwise.sources.sinks import evaluation_table, write_table
+    from shelfwise.sources.sinks import evaluation_table
     train, test, users, recs = _eval_parts(spark, d)
     pr = E.precision_recall(recs, test, users, KS)
     wide = evaluation_table(pr, "item_knn", KS)
@@ -323,9 +323,10 @@ jac AS (SELECT p.ua, p.ub, CAST(coalesce(i.n_common, 0) AS INTEGER) AS n_common,
 
 def _overlap(spark, d):
     inter = V.interactions(spark, d)
-    users = sample_keys(inter, "user_id", 5, SEED)
-    own = inter.join(users, "user_id", "left_semi")
-    recs = R.recommend_for_users(own, S.item_neighbors(inter, k=SCORE_K, only=own), n=5)
+    # sample, ratings and lists of five users are read many times
+    users = write_table(sample_keys(inter, "user_id", 5, SEED), "sampled-users")
+    own = write_table(inter.join(users, "user_id", "left_semi"), "sampled-ratings")
+    recs = write_table(R.recommend_for_users(own, S.item_neighbors(inter, k=SCORE_K, only=own), n=5), "sampled-recommendations")
     return E.list_overlap(recs, users, n=5), recs, users
 
 
@@ -347,7 +348,7 @@ bc AS (SELECT sb.book_id, CAST(COUNT(bnb.other_id) AS BIGINT) AS n_items FROM sb
 
 def _similar_counts(spark, d):
     inter = V.interactions(spark, d)
-    books = sample_keys(inter, "book_id", 5, SEED)
+    books = write_table(sample_keys(inter, "book_id", 5, SEED), "sampled-books")
     return E.counts_per_key(books, S.item_neighbors(inter, k=5, only=books), "book_id")
 
 
@@ -364,7 +365,7 @@ SELECT (SELECT max(user_id) FROM interactions) + 100 AS user_id,
 def e05_cold_start(spark, d):
     inter = V.interactions(spark, d)
     probe = spark.range(1).select((inter.select(F.max("user_id")).scalar() + 100).alias("user_id"))
-    own = inter.join(probe, "user_id", "left_semi")
+    own = write_table(inter.join(probe, "user_id", "left_semi"), "probed-ratings")
     recs = R.recommend_for_users(own, S.item_neighbors(inter, k=SCORE_K, only=own), n=5)
     return E.counts_per_key(probe, recs, "user_id")
 
@@ -382,7 +383,6 @@ SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM su) AS n_users,
        (SELECT CAST(COUNT(*) AS BIGINT) FROM recs WHERE user_id = (SELECT max(user_id) FROM interactions) + 100)
          AS cold_start_count""")
 def e06_summary(spark, d):
-    from shelfwise.sources.sinks import write_table
     inter = V.interactions(spark, d)
     users = sample_keys(inter, "user_id", 5, SEED)
     cold = spark.range(1).select((inter.select(F.max("user_id")).scalar() + 100).alias("user_id"))
@@ -433,7 +433,6 @@ cs AS (SELECT uw.user_id, fc.book_id, CAST(SUM(uw.w * fc.c) AS BIGINT) AS score
 
 def content_scores(spark, d, n):
     from shelfwise.plans.q_text import book_features
-    from shelfwise.sources.sinks import write_table
     features = write_table(book_features(spark, d), "book_features", spark)  # read for profiles, norms and books
     return R.content_recommendations(V.interactions(spark, d), features, n, DENSE)
 

@@ -8,7 +8,7 @@ from shelfwise.operators import inner_product as IP
 from shelfwise.operators import recommend as R
 from shelfwise.operators import similarity as S
 from shelfwise.operators import text as TX
-from shelfwise.plans import q_io
+from shelfwise.plans import q_eval, q_io
 from tests.conftest import SF
 
 
@@ -134,3 +134,19 @@ def test_tfidf_leaves_the_counts_with_their_document(spark):
     for x in rows:
         sums[x.doc_id] = sums.get(x.doc_id, 0.0) + x.weight ** 2
     assert len(sums) == 120 and all(s == pytest.approx(1.0) for s in sums.values())
+
+
+def test_overlap_draws_its_sample_once(spark, monkeypatch):
+    made, draw = spark.sparkContext.accumulator(0), q_eval.sample_keys
+
+    def rows(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    def counted(*a, **k):
+        users = draw(*a, **k)
+        return users.mapInArrow(rows, users.schema)
+    monkeypatch.setattr(q_eval, "sample_keys", counted)
+    assert q_eval.e03_overlap(spark, SF).count() == 10
+    assert made.value == 5
