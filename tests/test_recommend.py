@@ -59,3 +59,19 @@ def test_user_profile(spark):
     feats = spark.createDataFrame([(10, "f", 1.0), (11, "g", 0.5)], "book_id long, feature string, value double")
     got = {r.feature: r.weight for r in R.user_profiles(inter, feats).collect()}
     assert got == {"f": pytest.approx(4 / 5), "g": pytest.approx(0.5 / 5)}
+
+
+def test_users_scored_in_passes_get_the_same_lists(spark, monkeypatch):
+    import random
+    rnd = random.Random(14)
+    data = [(u, b, rnd.randint(1, 5)) for u in range(80) for b in rnd.sample(range(300, 360), rnd.randint(1, 12))]
+    inter = spark.createDataFrame(data, "user_id long, book_id long, rating int")
+    nb, near = S.item_neighbors(inter, k=5), S.user_neighbors(inter, k=3)
+    made = lambda: [sorted(map(tuple, df.collect())) for df in (
+        R.recommend_for_users(inter, nb, n=4), R.recommend_for_users(inter, nb, n=4, zero_based_rank=True),
+        R.predict_item_based(inter, nb, n=4), R.predict_user_based(inter, near, n=4))]
+    want, written, table = made(), [], R.write_table
+    monkeypatch.setattr(R, "write_table", lambda df, name, *a, **k: written.append(name) or table(df, name, *a, **k))
+    monkeypatch.setattr(R, "PASS_CELLS", 1)
+    assert made() == want
+    assert written.count("recommended") >= 4 and written.count("predicted") >= 4

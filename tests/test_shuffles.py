@@ -150,3 +150,40 @@ def test_overlap_draws_its_sample_once(spark, monkeypatch):
     monkeypatch.setattr(q_eval, "sample_keys", counted)
     assert q_eval.e03_overlap(spark, SF).count() == 10
     assert made.value == 5
+
+
+@pytest.mark.parametrize("sub_block,per_task", [(512, 1 << 21), (7, 40)])
+def test_neighbours_made_in_passes_equal_those_made_at_once(spark, sub_block, per_task):
+    rnd = random.Random(12)
+    data = [(r, c, rnd.randint(0, 5)) for r in range(60) for c in {3, *rnd.sample(range(40), rnd.randint(1, 9))}] + [(99, c, 2) for c in range(40)]
+    df = spark.createDataFrame(data, "user_id long, book_id long, rating int")
+    only = df.filter("book_id % 6 = 3").select("book_id")
+    rows = lambda x: sorted(map(tuple, x.select("book_id", "other_id", "dot", "sim", "nano", "n_common", "rank").collect()))
+    for some in (None, only):
+        many = S.item_neighbors(df, k=4, sub_block=sub_block, per_task=per_task, only=some, pass_pairs=1)
+        assert many.columns == S.item_neighbors(df, k=4, only=some).columns
+        assert rows(many) == rows(S.item_neighbors(df, k=4, only=some))
+
+
+def test_passes_bound_what_the_disk_holds(spark):
+    # 100 rows of 60 columns: 354,000 pairs of 1 partner number; no exchange of a pass may hold more than its share of the entries
+    data = [(u, b + 60 * u, 1 + (u + b) % 5) for u in range(100) for b in range(60)]
+    df = spark.createDataFrame(data, "user_id long, book_id long, rating int")
+    parts, _ = S._directed(*S._asked(df, "user_id", "book_id", "rating", None), 512, False, 1 << 21, 1)
+    assert len(parts) == 15  # four pairs an entry
+    sent = [max(bytes_shuffled(p)) for p in parts]
+    assert sum(sent) < 6 * 354_000 + 100 * 6000 and max(sent) < sum(sent) / 8
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from shelfwise.sources.sinks import write_bucketed, write_table
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: sum(b.isShuffle() for b in (lambda s: [s.apply(i) for i in range(s.size())])(blocks.getAllBlocks()))
+    df = spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count()
+    before = files()
+    assert write_table(df, "freed").count() == 97 and write_bucketed(df, "freed", "k", 3).filter("k >= 0").select("k").distinct().count() == 97
+    df.write.format("noop").mode("overwrite").save()
+    assert files() > before  # elsewhere they stay for the next reader
+    kept = files()
+    write_table(df, "freed")
+    assert files() == kept
