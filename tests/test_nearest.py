@@ -70,3 +70,25 @@ def test_dealt_champions_lose_no_pair(spark, hot, per_task):
     whole, dealt = (N.pruned_pairs(df, 3, 1e9, True, hot, per_task=p)[1] for p in (1 << 21, per_task))
     rows = lambda x: sorted(map(tuple, x.select("x", "y", "dot", "key").collect()))
     assert rows(dealt) == rows(whole)
+
+
+@pytest.mark.parametrize("hot", [12, 200])
+def test_classes_that_take_turns_lose_no_pair(spark, monkeypatch, hot):
+    data, written, write = table(21), [], N.write_table
+    monkeypatch.setattr(N, "PASS_PAIRS", 1)
+    monkeypatch.setattr(N, "write_table", lambda df, name, *a, **k: written.append(name) or write(df, name, *a, **k))
+    df = spark.createDataFrame([*data, *((u, 77, 1 + u % 4) for u in range(0, 90, 2))], "u long, b long, v int")
+    got = {(x.u, x.o, x.dot, x.nano, x.rank) for x in N.nearest(df, 3, "u", "b", "v", "o", hot=hot).collect()}
+    assert got == brute([*data, *((u, 77, 1 + u % 4) for u in range(0, 90, 2))], 3)
+    assert written.count("nearest-first") > 1
+
+
+def test_lists_leave_out_what_no_feature_needs(spark):
+    """Without hot features a partner is an id, a value and a norm: 15 bytes a pair before, with the length of a hot part."""
+    from tests.test_shuffles import bytes_shuffled
+    r = random.Random(5)
+    data = [(u, c, r.randint(1, 5)) for u in range(70_000, 70_400) for c in r.sample(range(60), 6)]
+    df = spark.createDataFrame(data, "r long, c long, v long")
+    lists = N._lists(df.selectExpr("cast(r as int) r", "c", "cast(v as tinyint) v", "cast(v * v as smallint) n2", "1 shares"), False, "c")
+    pairs = sum(x.m ** 2 for x in df.groupBy("c").count().withColumnRenamed("count", "m").collect())
+    assert max(bytes_shuffled(N._sums(lists, None, None, True, "bigint", 4, 1)[0])) < 12 * pairs
